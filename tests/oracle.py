@@ -1,0 +1,35 @@
+"""Runs a query on Spark and its SQL on DuckDB and compares them as multisets."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+
+def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in Path(sf_dir).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def spark_rows(df) -> tuple[list[str], Counter]:
+    names = sorted(df.columns)
+    return names, Counter(tuple(_value(row[n]) for n in names) for row in df.collect())
+
+
+def sql_rows(connection, sql: str) -> tuple[list[str], Counter]:
+    cursor = connection.execute(sql)
+    names = [column[0] for column in cursor.description]
+    order = sorted(range(len(names)), key=names.__getitem__)
+    rows = Counter(tuple(_value(row[i]) for i in order) for row in cursor.fetchall())
+    return [names[i] for i in order], rows
+
+
+def _value(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else round(value, 9)
+    return value
