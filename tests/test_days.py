@@ -1,0 +1,82 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import on_days
+from tidemark.operators import catchup_days, each_day, processing_days, processing_range
+
+TODAY = date(2024, 5, 20)
+
+
+def ago(n):
+    return TODAY - timedelta(days=n)
+
+
+SCENARIOS = [
+    ("daily", dict(), [1]),
+    ("catchup", dict(), [1]),
+    ("daily", dict(done=ago(1)), []),
+    ("catchup", dict(done=ago(1)), []),
+    ("daily", dict(done=ago(0)), []),
+    ("daily", dict(done=ago(2)), [1]),
+    ("daily", dict(done=ago(4)), [3, 2, 1]),
+    ("catchup", dict(done=ago(4)), [3, 2, 1]),
+    ("specific_date", dict(day=ago(1).isoformat()), [1]),
+    ("specific_date", dict(day=ago(30)), [30]),
+    ("specific_date", dict(day=ago(0)), []),
+    ("specific_date", dict(day=ago(-3)), []),
+    ("initial", dict(start=ago(5).isoformat(), end=ago(1).isoformat()), [5, 4, 3, 2, 1]),
+    ("initial", dict(start=ago(2), end=ago(-3)), [2, 1]),
+    ("initial", dict(start=ago(0), end=ago(-3)), []),
+]
+
+
+@pytest.mark.parametrize("mode, args, expected", SCENARIOS)
+def test_modes(spark, mode, args, expected):
+    days = processing_days(spark, mode, TODAY, **args)
+    assert [r.day for r in days.orderBy("day").collect()] == [ago(n) for n in expected]
+
+
+@pytest.mark.parametrize(
+    "mode, args",
+    [
+        ("weekly", {}),
+        ("specific_date", {}),
+        ("specific_date", {"day": "20/05/2024"}),
+        ("initial", {"start": "2024-05-01"}),
+        ("initial", {"start": "2024-05-10", "end": "2024-05-01"}),
+        ("initial", {"start": "2024-13-01", "end": "2024-05-01"}),
+    ],
+)
+def test_wrong_arguments(mode, args):
+    with pytest.raises(ValueError):
+        processing_range(mode, TODAY, **args)
+
+
+def test_each_day_guards_its_bounds(spark):
+    df = spark.createDataFrame(
+        [(1, ago(2), ago(0)), (2, ago(0), ago(2)), (3, None, ago(0)), (4, ago(0), None), (5, ago(0), ago(0))],
+        "id int, lo date, hi date",
+    )
+    rows = each_day(df, F.col("lo"), F.col("hi")).orderBy("id", "day").collect()
+    assert [(r.id, r.day) for r in rows] == [(1, ago(2)), (1, ago(1)), (1, ago(0)), (5, ago(0))]
+
+
+def test_catchup_per_job(spark):
+    jobs = spark.createDataFrame([("new", None), ("behind", ago(3)), ("ready", ago(1)), ("ahead", ago(0))], "job string, done date")
+    owed = catchup_days(jobs, F.col("done"), F.lit(ago(1)))
+    assert sorted((r.job, r.day) for r in owed.collect()) == [("behind", ago(2)), ("behind", ago(1)), ("new", ago(1))]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_days_are_whole(spark, kind):
+    times = [
+        datetime(2024, 3, 9, 23, 59, 59, 999999),
+        datetime(2024, 3, 10),
+        datetime(2024, 3, 11, 23, 59, 59, 500000),
+        datetime(2024, 3, 12),
+        None,
+    ]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz").select(F.col("t").cast(kind))
+    assert df.where(on_days("t", date(2024, 3, 10), date(2024, 3, 11))).count() == 2

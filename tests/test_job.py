@@ -1,0 +1,259 @@
+from datetime import date, datetime, timedelta
+from uuid import uuid4
+
+import pytest
+
+from tidemark.plans import append_progress, create_progress, last_done, read_progress, run_job
+from tidemark.plans.progress import mark_done
+from tidemark.sinks import write_output
+
+TX = (
+    "tra_sndr_msisdn string, tra_receiver_msisdn string, tra_date timestamp, "
+    "tra_sndr_category string, tra_receiver_category string, tra_channel string"
+)
+USERS = "user_msisdn string, user_status string, user_category_name string"
+
+
+def at(day, hour=12):
+    return datetime(2024, 3, day, hour)
+
+
+MOVES = [
+    ("a", "b", at(1), "A1", "B1", "C2C"),
+    ("c", "a", at(2), "C2", "A2", "O2C"),
+    ("b", "c", at(3, 9), "B3", "C3", "C2S"),
+    ("b", "a", datetime(2024, 3, 4, 23, 59, 59, 500000), "B4", "A4", "C2S"),
+    ("x", "c", at(5), "X5", "C5", "O2C"),
+]
+PEOPLE = [("a", "ACTIF", "-"), ("b", "actif", "-"), ("c", "OUT", "-"), ("a", "ACTIF", "-")]
+
+
+class Case:
+    def __init__(self, spark, folder, **store):
+        self.spark, self.folder = spark, folder
+        self.users(PEOPLE)
+        spark.createDataFrame(MOVES, TX).write.parquet(f"{folder}/tx")
+        self.spec = {
+            "data_sources": {"users": {"path": f"{folder}/users"}, "transactions": {"path": f"{folder}/tx"}},
+            "business_logic": {"active_status_value": "ACTIF"},
+            "outputs": {
+                "last_transaction_output": {
+                    "output_type": "parquet_file",
+                    "path": f"{folder}/out",
+                    "partition_by": ["day"],
+                    "mode": "overwrite",
+                    "options_override": {"compression": "snappy"},
+                },
+                "state": {"path": f"{folder}/state", "partition_by": ["day"]},
+            },
+            "metadata": {"job_name_identifier": "j", **(store or {"tracker_path": f"{folder}/progress"})},
+        }
+
+    def users(self, people):
+        self.spark.createDataFrame(people, USERS).write.mode("overwrite").parquet(f"{self.folder}/users")
+
+    def run(self, mode, as_of_day, **args):
+        return run_job(self.spark, self.spec, mode, date(2024, 3, as_of_day), **args)
+
+    def published(self):
+        schema = "party_id string, zb_last_transaction_date timestamp, zb_user_category string, zb_user_status string, day string"
+        rows = self.spark.read.schema(schema).parquet(f"{self.folder}/out").collect()
+        assert {r.zb_user_status for r in rows} <= {"ACTIF"}
+        return sorted((r.day[-2:], r.party_id, r.zb_user_category) for r in rows)
+
+    def done(self):
+        return last_done(self.spark, self.spec)
+
+
+@pytest.fixture
+def case(spark, tmp_path):
+    return Case(spark, tmp_path)
+
+
+DAYS_1_TO_4 = [
+    ("01", "a", "A1"), ("01", "b", "B1"),
+    ("02", "a", "A2"), ("02", "b", "B1"),
+    ("03", "a", "A2"), ("03", "b", "B3"),
+    ("04", "a", "A2"), ("04", "b", "B4"),
+]
+
+
+def test_initial_publishes_every_day(case):
+    run = case.run("initial", 9, start="2024-03-01", end="2024-03-04")
+    assert case.published() == DAYS_1_TO_4
+    assert (run.first, run.last) == (date(2024, 3, 1), date(2024, 3, 4)) and case.done() == run.last
+    assert run.rows == {"transactions": 4, "events": 5, "users": 3, "published": 8}
+
+
+def test_daily_carries_the_state(case):
+    for as_of in (2, 3, 4, 5):
+        case.run("daily", as_of)
+    assert case.published() == DAYS_1_TO_4
+
+
+def test_daily_catches_up_missed_days(case):
+    case.run("daily", 2)
+    assert case.run("daily", 5).first == date(2024, 3, 2)
+    assert case.published() == DAYS_1_TO_4
+
+
+def test_first_daily_run_takes_yesterday_only(case):
+    run = case.run("daily", 5)
+    assert run.first == run.last == date(2024, 3, 4)
+    assert case.published() == [("04", "b", "B4")]
+
+
+@pytest.mark.parametrize("mode, args", [("daily", {}), ("catchup", {})])
+def test_second_run_has_nothing_to_do(case, mode, args):
+    case.run("initial", 5, start="2024-03-01", end="2024-03-04")
+    assert case.run(mode, 5, **args).last is None
+    assert case.published() == DAYS_1_TO_4
+
+
+def test_repeating_a_run_changes_nothing(case):
+    for _ in range(2):
+        case.run("initial", 5, start="2024-03-01", end="2024-03-04")
+        assert case.published() == DAYS_1_TO_4
+    for _ in range(2):
+        case.run("specific_date", 9, day="2024-03-02")
+        assert case.published() == DAYS_1_TO_4
+    assert case.done() == date(2024, 3, 4)  # an old day does not move progress back
+
+
+def test_a_run_that_broke_off_can_be_repeated(case, monkeypatch):
+    case.run("daily", 2)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tidemark.plans.job.mark_done", broken)
+        with pytest.raises(OSError):
+            case.run("daily", 5)
+    assert case.done() == date(2024, 3, 1)
+    case.run("daily", 5)
+    assert case.published() == DAYS_1_TO_4
+
+
+def test_late_transaction_is_seen_after_initial_from_its_day(case):
+    case.run("initial", 5, start="2024-03-01", end="2024-03-04")
+    late = [("a", "z", at(3, 20), "LATE", "Z", "C2S")]
+    case.spark.createDataFrame(late, TX).write.mode("append").parquet(f"{case.folder}/tx")
+    case.run("initial", 5, start="2024-03-03", end="2024-03-04")
+    assert [r for r in case.published() if r[1] == "a"] == [
+        ("01", "a", "A1"), ("02", "a", "A2"), ("03", "a", "LATE"), ("04", "a", "LATE"),
+    ]
+
+
+def test_gap_before_a_specific_date_is_read_too(case):
+    case.run("daily", 2)
+    case.run("specific_date", 9, day="2024-03-04")
+    assert [r for r in case.published() if r[0] == "04"] == [("04", "a", "A2"), ("04", "b", "B4")]
+
+
+def test_party_active_again_keeps_its_history(case):
+    case.run("initial", 5, start="2024-03-01", end="2024-03-04")
+    case.users([("c", "ACTIF", "-")])
+    case.run("daily", 6)
+    case.users(PEOPLE)
+    case.run("daily", 7)
+    assert case.published() == DAYS_1_TO_4 + [("05", "c", "C5"), ("06", "a", "A2"), ("06", "b", "B4")]
+
+
+def test_range_looks_only_inside_its_days(case):
+    run = case.run("initial", 9, start="2024-03-02", end="2024-03-04", carry=False)
+    assert case.published() == [("04", "a", "A2"), ("04", "b", "B4")]
+    assert run.rows == {"users": 3, "transactions": 3, "published": 2}
+    assert not (case.folder / "state").exists()
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_empty_days_still_advance(case, carry):
+    case.run("initial", 20, start="2024-03-10", end="2024-03-11", carry=carry)
+    assert case.done() == date(2024, 3, 11)
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_no_active_users(case, carry):
+    case.users([("a", "OUT", "-")])
+    case.run("initial", 9, start="2024-03-01", end="2024-03-04", carry=carry)
+    assert case.published() == [] and case.done() == date(2024, 3, 4)
+
+
+def test_failed_run_does_not_advance(case):
+    case.spec["data_sources"]["transactions"]["path"] += "_missing"
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        case.run("daily", 5)
+    assert case.done() is None
+
+
+# --- progress -----------------------------------------------------------------
+
+
+def derby():
+    url = f"jdbc:derby:memory:p{uuid4().hex};create=true"
+    return {"db": {"url": url, "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}}
+
+
+@pytest.fixture(params=["parquet", "jdbc"])
+def store(request, spark, tmp_path):
+    if request.param == "parquet":
+        place, connections = {"tracker_path": f"{tmp_path}/progress"}, {}
+    else:
+        types = {"createTableColumnTypes": "job_identifier VARCHAR(200)"}
+        place = {"metadata_db_connection_name": "db", "tracker_db_table": "progress", "options_override": types}
+        connections = derby()
+    return lambda job: {"connections": connections, "metadata": {"job_name_identifier": job, **place}}
+
+
+def test_progress_of_two_jobs(spark, store):
+    one, two = store("alpha"), store("beta")
+    create_progress(spark, one)
+    assert last_done(spark, one) is None
+    mark_done(spark, one, date(2024, 3, 4))
+    create_progress(spark, two)  # an existing table stays
+    assert (last_done(spark, one), last_done(spark, two)) == (date(2024, 3, 4), None)
+    mark_done(spark, two, date(2024, 3, 2))
+    mark_done(spark, one, date(2024, 3, 1))
+    assert (last_done(spark, one), last_done(spark, two)) == (date(2024, 3, 4), date(2024, 3, 2))
+    many = spark.createDataFrame([(f"job{i}", date(2024, 1, 1) + timedelta(days=i)) for i in range(5)], "job_identifier string, last_successfully_processed_date date")
+    append_progress(many, one)
+    rows = {r[0]: r[1] for r in read_progress(spark, one).collect()}
+    assert len(rows) == 7 and rows["alpha"] == date(2024, 3, 4) and rows["job3"] == date(2024, 1, 4)
+
+
+def test_progress_that_cannot_be_read_is_an_error(spark, tmp_path, store):
+    with pytest.raises(Exception):
+        last_done(spark, store("alpha"))  # no table
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        last_done(spark, {"metadata": {"job_name_identifier": "j", "tracker_path": str(tmp_path / "bad")}})
+
+
+def test_progress_settings(spark):
+    for wrong in ({}, {"metadata": {"job_name_identifier": "j"}}, {"metadata": {"tracker_path": "/x"}}):
+        with pytest.raises(ValueError):
+            last_done(spark, wrong)
+    with pytest.raises(ValueError):
+        mark_done(spark, {"metadata": {"job_name_identifier": "j", "tracker_path": "/x"}}, "2024-01-01")
+
+
+# --- everything in a database --------------------------------------------------
+
+
+def test_job_on_jdbc(spark, tmp_path):
+    case = Case(spark, tmp_path)
+    tables = {
+        "users": {"connection_name": "db", "db_type": "jdbc", "table": "master"},
+        "transactions": {"connection_name": "db", "db_type": "jdbc", "table": "moves"},
+    }
+    case.spec.update(connections=derby(), data_sources=tables)
+    for name, rows, schema in (("users", PEOPLE, USERS), ("transactions", MOVES, TX)):
+        df = spark.createDataFrame(rows, schema)
+        types = ", ".join(f"{c} VARCHAR(50)" for c, t in df.dtypes if t == "string")
+        write_output(df, {**case.spec, "outputs": tables}, name, createTableColumnTypes=types)
+    case.run("initial", 9, start="2024-03-01", end="2024-03-04")
+    assert case.published() == DAYS_1_TO_4
+    case.run("specific_date", 9, day="2024-03-03", carry=False)
+    assert [r for r in case.published() if r[0] == "03"] == [("03", "b", "B3")]

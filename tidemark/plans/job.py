@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from tidemark.names import CATEGORY, OUT_CATEGORY, OUT_DAY, OUT_TIME, PARTY, TIME
+from tidemark.names import CATEGORY, OUT_CATEGORY, OUT_DAY, OUT_TIME, TIME
 from tidemark.operators import StageCounts, expand_days, only_parties, party_events, processing_range, validity
 from tidemark.plans.last_transaction import calculate_last_transaction, channel_rules, shape_output
 from tidemark.plans.progress import create_progress, last_done, mark_done
@@ -46,9 +46,10 @@ def run_job(
     """Processes the days `mode` asks for and publishes last transactions of active parties.
 
     `carry=True` publishes one partition per day: the last known transaction as of that day, however
-    old. The run keeps the state at its last day for the next one, for all parties and not only the
-    active ones. `carry=False` looks only inside the run's days and publishes one partition, for the
-    last of them.
+    old. The state of every day, all parties and not only the active ones, is kept for later runs: a
+    run starts from the newest state before its first day and reads the transactions since. States
+    that no rerun will need can be dropped. `carry=False` looks only inside the run's days and
+    publishes one partition, for the last of them.
 
     Both read the transactions once. Written partitions replace those of the same days, progress is
     appended last and is a maximum: a run that broke off, or runs twice, can simply be repeated. A
@@ -93,8 +94,7 @@ def _publish_days(spark: SparkSession, spec: Mapping[str, Any], first: date, las
     published = count("published", shape_output(shown, spec, F.col("day")))
     write_output(published, spec, OUTPUT, skip_empty=False)
 
-    at_end = known.where("valid_to is null").select(PARTY, TIME, CATEGORY, F.lit(last.isoformat()).alias(OUT_DAY))
-    write_output(at_end, spec, STATE, skip_empty=False)
+    write_output(expand_days(known, first, last), spec, STATE, skip_empty=False)
     return count.result()
 
 

@@ -48,8 +48,9 @@ def read_progress(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
 
 def last_done(spark: SparkSession, spec: Mapping[str, Any]) -> date | None:
     """The day the job of this spec has reached, None before its first run."""
+    mine = F.col(JOB) == job_name(spec)
     rows = read_source(spark, _store(spec), "progress", **_schema(spec))
-    return rows.where(F.col(JOB) == job_name(spec)).agg(F.max(DONE)).first()[0]
+    return rows.where(mine).agg(F.max(DONE)).first()[0]
 
 
 def job_name(spec: Mapping[str, Any]) -> str:

@@ -86,21 +86,25 @@ def _read_files(
     schema: StructType | str | None,
     options: Mapping[str, Any],
 ) -> DataFrame:
-    """Files at any Hadoop URI, read by the executors; `pattern` is a shell pattern on names.
+    """Files at any Hadoop URI, read by the executors.
 
-    No matching file gives an empty DataFrame when a schema is stated, an error otherwise.
+    `pattern` is a shell pattern below `path`; one that reaches into sub-folders keeps their partition
+    columns. When no file matches, the result is empty if a schema is stated, an error otherwise.
     """
-    if pattern and "/" in pattern:  # reaches into sub-folders, keeps their partition columns
-        options = {"basePath": path, **options}
-        path = f"{path.rstrip('/')}/{_hadoop_glob(pattern)}"
-    elif pattern:
-        options = {"pathGlobFilter": _hadoop_glob(pattern), **options}
+    if file_format == "text":
+        schema = schema or "value string"
+    options = {"basePath": path, **options} if "/" in (pattern or "") else options
+    target = f"{path.rstrip('/')}/{_hadoop_glob(pattern)}" if pattern else path
     try:
-        return _load(spark, file_format, options, schema, path)
+        return _load(spark, file_format, options, schema, target)
     except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        nothing = "PATH_NOT_FOUND" if pattern else "UNABLE_TO_INFER_SCHEMA"
+        if error.getCondition() != nothing:
             raise
-        raise ValueError(f"no {file_format} file {pattern or '*'} in {path}; state a schema to read it as empty") from error
+        if schema is None:
+            raise ValueError(f"no file {pattern or '*'} in {path}; state a schema to read it as empty") from error
+    _load(spark, file_format, {}, schema, path)  # a missing folder stays an error
+    return spark.createDataFrame([], schema)
 
 
 def _load(spark, file_format, options, schema, *path) -> DataFrame:
