@@ -106,4 +106,7 @@ def _newest_state(spark: SparkSession, stored: Mapping[str, Any], first: date) -
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return states.where(F.col(OUT_DAY) < F.lit(first)).agg(F.max(OUT_DAY)).first()[0]
+    eve = first - timedelta(days=1)
+    if not states.where(F.col(OUT_DAY) == F.lit(eve)).isEmpty():  # the usual case reads one partition
+        return eve
+    return states.where(F.col(OUT_DAY) < F.lit(eve)).agg(F.max(OUT_DAY)).first()[0]

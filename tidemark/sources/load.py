@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,11 +49,18 @@ def transactions(
 ) -> DataFrame:
     """The transactions of `first` to `last`, both days whole.
 
-    Spark pushes the six columns and the bounds into the scan, Parquet or JDBC alike.
+    Spark pushes the six columns and the bounds into the scan, Parquet or JDBC alike. A JDBC scan that
+    is split on the date column is split within these days.
     """
-    if source not in spec.get("data_sources", {}):
+    entry = spec.get("data_sources", {}).get(source)
+    if entry is None:
         return spark.createDataFrame([], TRANSACTIONS_SCHEMA)
-    rows = select_mapped(read_source(spark, spec, source), physical_columns(spec, source, TRANSACTION_COLUMNS))
+    columns = physical_columns(spec, source, TRANSACTION_COLUMNS)
+    options = entry.get("options_override") or {}
+    split = {}
+    if options.get("partitionColumn") == columns["transaction_date"] and "lowerBound" not in options:
+        split = {"lowerBound": first.isoformat(), "upperBound": (last + timedelta(days=1)).isoformat()}
+    rows = select_mapped(read_source(spark, spec, source, **split), columns)
     ids = {name: _id(name) for name in ("sender_msisdn", "receiver_msisdn")}
     return rows.where(on_days("transaction_date", first, last)).withColumns(ids)
 
