@@ -86,6 +86,12 @@ def test_party_without_id_gives_no_event(spark):
     assert rows(party_events(tx)) == [(" ", at(1), "A"), ("b", at(1), "B"), ("c", at(1), "C")]
 
 
+def test_numeric_ids(spark):
+    tx = moves(spark, [("1", "2", at(1), "A", "B", "C2C"), (None, "3", at(1), "A", "C", "C2C")])
+    numbers = tx.withColumns({c: F.col(c).cast("long") for c in ("sender_msisdn", "receiver_msisdn")})
+    assert rows(party_events(numbers)) == [(1, at(1), "A"), (2, at(1), "B"), (3, at(1), "C")]
+
+
 def test_sender_is_receiver(spark):
     tx = moves(spark, [("a", "a", at(1), "X", "W", "C2C")])
     assert party_events(tx).count() == 2

@@ -74,6 +74,16 @@ def test_partitions_become_few_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o")).count() == 20_000
 
 
+def test_heavy_partition_is_split(spark, tmp_path):
+    df = spark.range(0, 20_000, 1, 64).selectExpr("id", "'2024-01-01' day")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32KB")
+    try:
+        write_output(df, spec_of(tmp_path / "o", partition_by="day"), "x")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert 2 < len(list((tmp_path / "o").rglob("*.parquet"))) < 64
+
+
 def test_text_holds_one_string_column(spark, tmp_path):
     spec = spec_of(tmp_path / "o", output_type="text_file")
     write_output(spark.createDataFrame([("a",), ("b",)], "v string"), spec, "x")
@@ -89,7 +99,7 @@ def test_text_holds_one_string_column(spark, tmp_path):
 def test_file_options(spark, tmp_path):
     options = {"sep": "|", "header": True, "compression": "gzip", "maxRecordsPerFile": 2}
     spec = spec_of(tmp_path / "o", output_type="csv_file", options_override=options)
-    write_output(spark.range(4).coalesce(1), spec, "x")
+    write_output(spark.range(4).coalesce(1), spec, "x", encoding=None)
     assert len(list((tmp_path / "o").glob("*.csv.gz"))) == 2
 
 

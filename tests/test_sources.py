@@ -1,5 +1,6 @@
 import json
 import logging
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,7 +9,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidemark.sources import active_parties, connections, read_source, require_columns, source_type, transactions
 from tidemark.sources.jdbc import quote_name, quote_text
 from tidemark.sources.read import _hadoop_glob
-from tidemark.storage import materialise, scratch_path
+from tidemark.storage import materialised, scratch_path
 
 
 @pytest.mark.parametrize(
@@ -177,6 +178,8 @@ def test_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(shared) and first != second
-    df = materialise(spark.range(5), "five")
-    assert df.dtypes == [("id", "bigint")] and df.count() == 5
-    assert all(shared in f for f in df.inputFiles())
+    with materialised(spark.range(5), "five") as df:
+        files = df.inputFiles()
+        assert df.dtypes == [("id", "bigint")] and df.count() == 5
+        assert files and all(shared in f for f in files)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)

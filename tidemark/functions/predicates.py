@@ -23,4 +23,4 @@ def on_days(column: Column | str, first: date, last: date) -> Column:
 def has_party(column: Column | str) -> Column:
     """Neither null nor empty. Blanks are kept: `" "` is an id like any other."""
     column = F.col(column) if isinstance(column, str) else column
-    return column.isNotNull() & (column != "")
+    return column.isNotNull() & (column.cast("string") != "")

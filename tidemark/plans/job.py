@@ -18,7 +18,7 @@ from tidemark.plans.last_transaction import calculate_last_transaction, channel_
 from tidemark.plans.progress import create_progress, last_done, mark_done
 from tidemark.sinks import write_output
 from tidemark.sources import active_parties, read_source, transactions
-from tidemark.storage import materialise
+from tidemark.storage import materialised
 
 USERS, TRANSACTIONS, OUTPUT, STATE = "users", "transactions", "last_transaction_output", "state"
 
@@ -86,15 +86,13 @@ def _publish_days(spark: SparkSession, spec: Mapping[str, Any], first: date, las
     if covered:
         schema = StructType([*events.schema.fields, StructField(OUT_DAY, DateType())])
         state = read_source(spark, stored, STATE, schema=schema).where(F.col(OUT_DAY) == F.lit(covered))
-    known = materialise(validity(events, state), "validity")
-
     active = count("users", active_parties(spark, spec, USERS))
-    shown = expand_days(only_parties(known, active), first, last)
-    shown = shown.withColumnsRenamed({TIME: OUT_TIME, CATEGORY: OUT_CATEGORY})
-    published = count("published", shape_output(shown, spec, F.col("day")))
-    write_output(published, spec, OUTPUT, skip_empty=False)
-
-    write_output(expand_days(known, first, last), spec, STATE, skip_empty=False)
+    with materialised(validity(events, state), "validity") as known:
+        shown = expand_days(only_parties(known, active), first, last)
+        shown = shown.withColumnsRenamed({TIME: OUT_TIME, CATEGORY: OUT_CATEGORY})
+        published = count("published", shape_output(shown, spec, F.col("day")))
+        write_output(published, spec, OUTPUT, skip_empty=False)
+        write_output(expand_days(known, first, last), spec, STATE, skip_empty=False)
     return count.result()
 
 

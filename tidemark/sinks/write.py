@@ -47,7 +47,7 @@ def write_output(
     except KeyError:
         raise ValueError(f"output {name!r} is not defined") from None
     kind = output_type(entry)
-    own = {**(entry.get("options_override") or {}), **kwargs}
+    own = {k: v for k, v in {**(entry.get("options_override") or {}), **kwargs}.items() if v is not None}
     mode = own.pop("mode", None) or entry.get("mode") or ("append" if kind in LANDING_TYPES else "overwrite")
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} of output {name!r} is not one of {', '.join(MODES)}")
@@ -80,7 +80,9 @@ def _write_files(
         if len(rest) != 1 or rest[0][1] != "string":
             raise ValueError(f"a text file holds one string column, not {rest}")
     if days:
-        df = df.hint("rebalance", *days)
+        # Only adaptive execution splits a heavy day again; without it one task would write the day.
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            df = df.hint("rebalance", *days)
         options.setdefault("partitionOverwriteMode", "dynamic")
     df.write.format(file_format).mode(mode).options(**options).partitionBy(*days).save(path)
 

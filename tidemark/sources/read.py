@@ -47,7 +47,7 @@ def read_source(spark: SparkSession, spec: Mapping[str, Any], name: str, **kwarg
     except KeyError:
         raise ValueError(f"source {name!r} is not defined") from None
     kind = source_type(entry)
-    own = {**(entry.get("options_override") or {}), **kwargs}
+    own = {k: v for k, v in {**(entry.get("options_override") or {}), **kwargs}.items() if v is not None}
     take = own.pop
 
     if kind in JDBC_TYPES:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +26,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/tidemark/{name}-{uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes `df` to the shared folder and returns it as read from there.
+@contextmanager
+def materialised(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` written to the shared folder and read from there, removed at the end of the block.
 
     For a result several writes depend on: computed once, safe against lost executors, and its size
     is known to the planner.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
