@@ -366,7 +366,7 @@ def database(**tables) -> dict:
     return {"connections": connections, "data_sources": entries, "outputs": entries}
 
 
-def _strings(df, **names):
+def _strings(df):
     return ", ".join(f"{name} VARCHAR(200)" for name, kind in df.dtypes if kind == "string")
 
 
@@ -392,8 +392,10 @@ def jdbc_partitioned_read(spark, sf_dir):
 
 
 def jdbc_date_range(spark, sf_dir):
-    """The date filter and the six columns reach the database."""
-    spec = {**job_spec(sf_dir), **loaded(table(spark, sf_dir, "events"), "transactions", preferTimestampNTZ=True)}
+    """The database filters the days and selects the columns; the scan is split within those days."""
+    spec = {**job_spec(sf_dir), **loaded(table(spark, sf_dir, "events"), "transactions")}
+    split = {"partitionColumn": "event_id", "numPartitions": 4}
+    spec["data_sources"]["transactions"]["options_override"] = {"preferTimestampNTZ": True, **split}
     return transactions(spark, spec, date(2024, 1, 5), date(2024, 1, 12))
 
 

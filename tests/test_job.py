@@ -180,6 +180,13 @@ def test_no_active_users(case, carry):
     assert case.published() == [] and case.done() == date(2024, 3, 4)
 
 
+def test_state_output_is_needed_to_carry(case):
+    del case.spec["outputs"]["state"]
+    with pytest.raises(ValueError, match="outputs.state"):
+        case.run("daily", 5)
+    case.run("daily", 5, carry=False)
+
+
 def test_failed_run_does_not_advance(case):
     case.spec["data_sources"]["transactions"]["path"] += "_missing"
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

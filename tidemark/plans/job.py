@@ -76,6 +76,8 @@ def _publish_range(spark: SparkSession, spec: Mapping[str, Any], first: date, la
 
 
 def _publish_days(spark: SparkSession, spec: Mapping[str, Any], first: date, last: date) -> dict[str, int | None]:
+    if STATE not in spec.get("outputs", {}):
+        raise ValueError(f"outputs.{STATE} is required to carry the last known transactions; or run with carry=False")
     count = StageCounts()
     stored = {"data_sources": {STATE: {"path": spec["outputs"][STATE]["path"]}}}
     covered = _newest_state(spark, stored, first)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import on_days, same_text
 from tidemark.names import PARTY, TRANSACTION_COLUMNS, TRANSACTIONS_SCHEMA, USER_COLUMNS, USERS_SCHEMA
+from tidemark.sources.connections import connection
 from tidemark.sources.jdbc import quote_name, quote_text
-from tidemark.sources.read import JDBC_TYPES, connection, read_source, source_type
+from tidemark.sources.read import JDBC_TYPES, read_source, source_type
 
 
 def active_parties(spark: SparkSession, spec: Mapping[str, Any], source: str = "users") -> DataFrame:
@@ -27,42 +28,57 @@ def active_parties(spark: SparkSession, spec: Mapping[str, Any], source: str = "
     if entry is None:
         return spark.createDataFrame([], USERS_SCHEMA)
     columns = physical_columns(spec, source, USER_COLUMNS)
-    if source_type(entry) not in JDBC_TYPES:
-        users = select_mapped(read_source(spark, spec, source), columns)
-        return users.where(same_text("status", status)).select(_id(PARTY))
-
-    if not entry.get("table"):
-        raise ValueError(f"source {source!r} has no table")
-    url = connection(spec, entry)["url"]
-    party, state = (quote_name(columns[c], url) for c in (PARTY, "status"))
-    query = (
-        f"SELECT {party} AS {quote_name(PARTY, url)} FROM {entry['table']} "
-        f"WHERE upper({state}) = upper({quote_text(status, url)})"
-    )
-    users = read_source(spark, spec, source, query_string=query, query_alias=f"{source}_query")
-    require_columns(users, [PARTY])
+    if source_type(entry) in JDBC_TYPES:
+        url = connection(spec, entry)["url"]
+        where = f"upper({quote_name(columns['status'], url)}) = upper({quote_text(status, url)})"
+        users = _select_in_database(spark, spec, source, {PARTY: columns[PARTY]}, where)
+    else:
+        users = select_mapped(read_source(spark, spec, source), columns).where(same_text("status", status))
     return users.select(_id(PARTY))
 
 
 def transactions(
     spark: SparkSession, spec: Mapping[str, Any], first: date, last: date, source: str = "transactions"
 ) -> DataFrame:
-    """The transactions of `first` to `last`, both days whole.
+    """The transactions of `first` to `last`, both days whole, in the six logical columns.
 
-    Spark pushes the six columns and the bounds into the scan, Parquet or JDBC alike. A JDBC scan that
-    is split on the date column is split within these days.
+    On files Spark pushes columns and bounds into the scan. On JDBC they are SQL text, so days are
+    those of the database's clock, whatever the time zones of session and JVM.
     """
     entry = spec.get("data_sources", {}).get(source)
     if entry is None:
         return spark.createDataFrame([], TRANSACTIONS_SCHEMA)
     columns = physical_columns(spec, source, TRANSACTION_COLUMNS)
-    options = entry.get("options_override") or {}
-    split = {}
-    if options.get("partitionColumn") == columns["transaction_date"] and "lowerBound" not in options:
-        split = {"lowerBound": first.isoformat(), "upperBound": (last + timedelta(days=1)).isoformat()}
-    rows = select_mapped(read_source(spark, spec, source, **split), columns)
-    ids = {name: _id(name) for name in ("sender_msisdn", "receiver_msisdn")}
-    return rows.where(on_days("transaction_date", first, last)).withColumns(ids)
+    if source_type(entry) in JDBC_TYPES:
+        time = quote_name(columns["transaction_date"], connection(spec, entry)["url"])
+        after = last + timedelta(days=1)
+        where = f"{time} >= {{ts '{first} 00:00:00'}} AND {time} < {{ts '{after} 00:00:00'}}"
+        rows = _select_in_database(spark, spec, source, columns, where)
+    else:
+        rows = select_mapped(read_source(spark, spec, source), columns).where(on_days("transaction_date", first, last))
+    return rows.withColumns({name: _id(name) for name in ("sender_msisdn", "receiver_msisdn")})
+
+
+def _select_in_database(
+    spark: SparkSession, spec: Mapping[str, Any], source: str, columns: Mapping[str, str], where: str
+) -> DataFrame:
+    """The physical columns under their logical names, filtered by the database.
+
+    A scan split on a column is split on the filtered rows, so a run over one day of a long table
+    still spreads over all its splits.
+    """
+    entry = spec["data_sources"][source]
+    if not entry.get("table"):
+        raise ValueError(f"source {source!r} has no table")
+    url = connection(spec, entry)["url"]
+    selected = [f"{quote_name(physical, url)} AS {quote_name(logical, url)}" for logical, physical in columns.items()]
+    options = {}
+    if split := (entry.get("options_override") or {}).get("partitionColumn"):
+        selected.append(f"{quote_name(split, url)} AS {quote_name('_split', url)}")
+        options["partitionColumn"] = "_split"
+    query = f"SELECT {', '.join(selected)} FROM {entry['table']} WHERE {where}"
+    rows = read_source(spark, spec, source, query_string=query, query_alias=f"{source}_query", **options)
+    return select_mapped(rows, {logical: logical for logical in columns})
 
 
 def _id(name: str) -> Column:
