@@ -15,8 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import has_party, same_text
-from tidemark.names import CATEGORY, DONE, JOB, OUT_DAY, PARTY, PROGRESS_SCHEMA, TIME
+from tidemark.functions import has_party
+from tidemark.names import CATEGORY, DONE, JOB, OUT_DAY, PARTY, TIME
 from tidemark.operators import (
     StageCounts,
     advance_state,
@@ -142,7 +142,7 @@ def _job_outputs(spark, spec):
         **spec,
         "outputs": {
             "last_transaction_output": {"path": f"{root}/published", "partition_by": ["day"]},
-            "state": {"path": f"{root}/state", "partition_by": ["day"]},
+            "state": {"path": f"{root}/state"},
         },
         "metadata": {"tracker_path": f"{root}/progress", "job_name_identifier": "last_transaction"},
     }

@@ -64,7 +64,8 @@ def test_each_day_guards_its_bounds(spark):
 
 
 def test_catchup_per_job(spark):
-    jobs = spark.createDataFrame([("new", None), ("behind", ago(3)), ("ready", ago(1)), ("ahead", ago(0))], "job string, done date")
+    reached = [("new", None), ("behind", ago(3)), ("ready", ago(1)), ("ahead", ago(0))]
+    jobs = spark.createDataFrame(reached, "job string, done date")
     owed = catchup_days(jobs, F.col("done"), F.lit(ago(1)))
     assert sorted((r.job, r.day) for r in owed.collect()) == [("behind", ago(2)), ("behind", ago(1)), ("new", ago(1))]
 

@@ -44,7 +44,8 @@ def test_write_modes_and_options(spark, db):
 def test_query_runs_in_the_database(spark, db):
     write_output(spark.range(10), db, "x")
     query = 'SELECT "id" * 2 AS "twice" FROM items WHERE "id" > 6'
-    assert sorted(r.twice for r in read_source(spark, db, "x", query_string=query, query_alias="q").collect()) == [14, 16, 18]
+    doubled = read_source(spark, db, "x", query_string=query, query_alias="q")
+    assert sorted(r.twice for r in doubled.collect()) == [14, 16, 18]
     assert read_source(spark, db, "x", query_string=query).count() == 3
 
 
@@ -102,7 +103,8 @@ def test_days_are_filtered_and_split_in_the_database(spark, db):
 
 
 def test_days_do_not_depend_on_the_session_time_zone(spark, db):
-    hours = spark.range(72).selectExpr("timestamp_ntz'2024-03-04 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) t", "'a' p")
+    hour = "timestamp_ntz'2024-03-04 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) t"
+    hours = spark.range(72).selectExpr(hour, "'a' p")
     write_output(hours, db, "x", createTableColumnTypes="p VARCHAR(9)")
     names = {c: "p" for c in ("sndr_msisdn", "rcvr_msisdn", "sndr_category", "rcvr_category", "channel")}
     db["columns"] = {"x": {"date": "t", **names}}

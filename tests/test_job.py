@@ -3,9 +3,10 @@ from uuid import uuid4
 
 import pytest
 
-from tidemark.plans import append_progress, create_progress, last_done, read_progress, run_job
+from tidemark.plans import ProgressNotRecorded, append_progress, create_progress, last_done, read_progress, run_job
 from tidemark.plans.progress import mark_done
 from tidemark.sinks import write_output
+from tidemark.sources import read_source
 
 TX = (
     "tra_sndr_msisdn string, tra_receiver_msisdn string, tra_date timestamp, "
@@ -44,7 +45,7 @@ class Case:
                     "mode": "overwrite",
                     "options_override": {"compression": "snappy"},
                 },
-                "state": {"path": f"{folder}/state", "partition_by": ["day"]},
+                "state": {"path": f"{folder}/state"},
             },
             "metadata": {"job_name_identifier": "j", **(store or {"tracker_path": f"{folder}/progress"})},
         }
@@ -56,7 +57,10 @@ class Case:
         return run_job(self.spark, self.spec, mode, date(2024, 3, as_of_day), **args)
 
     def published(self):
-        schema = "party_id string, zb_last_transaction_date timestamp, zb_user_category string, zb_user_status string, day string"
+        schema = (
+            "party_id string, zb_last_transaction_date timestamp, "
+            "zb_user_category string, zb_user_status string, day string"
+        )
         rows = self.spark.read.schema(schema).parquet(f"{self.folder}/out").collect()
         assert {r.zb_user_status for r in rows} <= {"ACTIF"}
         return sorted((r.day[-2:], r.party_id, r.zb_user_category) for r in rows)
@@ -128,7 +132,7 @@ def test_a_run_that_broke_off_can_be_repeated(case, monkeypatch):
 
     with monkeypatch.context() as patch:
         patch.setattr("tidemark.plans.job.mark_done", broken)
-        with pytest.raises(OSError):
+        with pytest.raises(ProgressNotRecorded):
             case.run("daily", 5)
     assert case.done() == date(2024, 3, 1)
     case.run("daily", 5)
@@ -187,6 +191,26 @@ def test_state_output_is_needed_to_carry(case):
     case.run("daily", 5, carry=False)
 
 
+@pytest.mark.parametrize("carry", [True, False])
+@pytest.mark.parametrize("kind", ["jdbc", "file"])
+def test_empty_result_leaves_a_whole_table_alone(case, carry, kind):
+    if kind == "jdbc":
+        case.spec["connections"] = derby()
+        types = "party_id VARCHAR(9), zb_user_category VARCHAR(9), zb_user_status VARCHAR(9), day VARCHAR(10)"
+        options = {"createTableColumnTypes": types}
+        place = {"connection_name": "db", "db_type": "jdbc", "table": "result", "options_override": options}
+    else:
+        place = {"path": f"{case.folder}/whole"}
+    case.spec["outputs"]["last_transaction_output"] = place
+    case.spec["data_sources"]["back"] = place
+    run = case.run("initial", 9, start="2024-03-04", end="2024-03-04", carry=carry)
+    assert run.rows["published"] == 1
+    case.users([("a", "OUT", "-")])
+    case.run("initial", 9, start="2024-03-04", end="2024-03-04", carry=carry)
+    (row,) = read_source(case.spark, case.spec, "back").collect()
+    assert (row.party_id, row.zb_user_category, row.day) == ("b", "B4", "2024-03-04")
+
+
 def test_failed_run_does_not_advance(case):
     case.spec["data_sources"]["transactions"]["path"] += "_missing"
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -223,7 +247,8 @@ def test_progress_of_two_jobs(spark, store):
     mark_done(spark, two, date(2024, 3, 2))
     mark_done(spark, one, date(2024, 3, 1))
     assert (last_done(spark, one), last_done(spark, two)) == (date(2024, 3, 4), date(2024, 3, 2))
-    many = spark.createDataFrame([(f"job{i}", date(2024, 1, 1) + timedelta(days=i)) for i in range(5)], "job_identifier string, last_successfully_processed_date date")
+    rows = [(f"job{i}", date(2024, 1, 1) + timedelta(days=i)) for i in range(5)]
+    many = spark.createDataFrame(rows, "job_identifier string, last_successfully_processed_date date")
     append_progress(many, one)
     rows = {r[0]: r[1] for r in read_progress(spark, one).collect()}
     assert len(rows) == 7 and rows["alpha"] == date(2024, 3, 4) and rows["job3"] == date(2024, 1, 4)

@@ -15,10 +15,11 @@ def test_fold_day_by_day_equals_one_job(spark):
     events = feed(spark, SF).cache()
     last = FIRST + timedelta(days=6)
     whole = daily_snapshots(events, FIRST, last).cache()
-    state = spark.createDataFrame([], events.schema)
+    schema = events.select("msisdn", "event_date", "event_category").schema
+    state = spark.createDataFrame([], schema)
     for n in range(7):
         day = FIRST + timedelta(days=n)
-        state = spark.createDataFrame(advance_state(state, events, day).collect(), state.select("msisdn", "event_date", "event_category").schema)
+        state = spark.createDataFrame(advance_state(state, events, day).collect(), schema)
         assert rows(state) == rows(whole.where(f"day = '{day}'")) != []
 
 

@@ -1,10 +1,11 @@
 """The job: last transaction per active party, progress, and the run that ties them together."""
 
-from tidemark.plans.job import Run, run_job
+from tidemark.plans.job import ProgressNotRecorded, Run, run_job
 from tidemark.plans.last_transaction import calculate_last_transaction, channel_rules, shape_output
 from tidemark.plans.progress import append_progress, create_progress, last_done, read_progress
 
 __all__ = [
+    "ProgressNotRecorded",
     "Run",
     "append_progress",
     "calculate_last_transaction",

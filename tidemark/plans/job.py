@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -16,13 +16,17 @@ from tidemark.names import CATEGORY, OUT_CATEGORY, OUT_DAY, OUT_TIME, TIME
 from tidemark.operators import StageCounts, expand_days, only_parties, party_events, processing_range, validity
 from tidemark.plans.last_transaction import calculate_last_transaction, channel_rules, shape_output
 from tidemark.plans.progress import create_progress, last_done, mark_done
-from tidemark.sinks import write_output
+from tidemark.sinks import replaces_partitions, write_output
 from tidemark.sources import active_parties, read_source, transactions
 from tidemark.storage import materialised
 
 USERS, TRANSACTIONS, OUTPUT, STATE = "users", "transactions", "last_transaction_output", "state"
 
 
+class ProgressNotRecorded(RuntimeError):
+    """The output is complete but the progress table does not say so; repeating the run is safe."""
+
+
 @dataclass(frozen=True)
 class Run:
     """What a run did: its days, or None when there was nothing to do, and rows per stage."""
@@ -54,6 +58,7 @@ def run_job(
     Both read the transactions once. Written partitions replace those of the same days, progress is
     appended last and is a maximum: a run that broke off, or runs twice, can simply be repeated. A
     transaction that arrives for a day already processed is seen after `initial` from that day on.
+    Any error means that progress did not move.
     """
     create_progress(spark, spec)
     done = last_done(spark, spec)
@@ -62,7 +67,10 @@ def run_job(
         return Run()
     publish = _publish_days if carry else _publish_range
     rows = publish(spark, spec, *days)
-    mark_done(spark, spec, days[1])
+    try:
+        mark_done(spark, spec, days[1])
+    except Exception as error:
+        raise ProgressNotRecorded(f"published {days[0]} to {days[1]}, progress not recorded") from error
     return Run(*days, rows)
 
 
@@ -71,15 +79,16 @@ def _publish_range(spark: SparkSession, spec: Mapping[str, Any], first: date, la
     active = count("users", active_parties(spark, spec, USERS))
     rows = count("transactions", transactions(spark, spec, first, last, TRANSACTIONS))
     found = count("published", calculate_last_transaction(active, rows, spec))
-    write_output(shape_output(found, spec, last), spec, OUTPUT, skip_empty=False)
+    _write_result(shape_output(found, spec, last), spec)
     return count.result()
 
 
 def _publish_days(spark: SparkSession, spec: Mapping[str, Any], first: date, last: date) -> dict[str, int | None]:
-    if STATE not in spec.get("outputs", {}):
-        raise ValueError(f"outputs.{STATE} is required to carry the last known transactions; or run with carry=False")
+    if not spec["outputs"].get(STATE, {}).get("path"):
+        raise ValueError(f"outputs.{STATE} needs a path to carry the last known transactions; or run with carry=False")
+    place = {"path": spec["outputs"][STATE]["path"]}
+    stored = {"data_sources": {STATE: place}}
     count = StageCounts()
-    stored = {"data_sources": {STATE: {"path": spec["outputs"][STATE]["path"]}}}
     covered = _newest_state(spark, stored, first)
     since = covered + timedelta(days=1) if covered else first
     rows = count("transactions", transactions(spark, spec, since, last, TRANSACTIONS))
@@ -93,11 +102,21 @@ def _publish_days(spark: SparkSession, spec: Mapping[str, Any], first: date, las
         shown = expand_days(only_parties(known, active), first, last)
         shown = shown.withColumnsRenamed({TIME: OUT_TIME, CATEGORY: OUT_CATEGORY})
         published = count("published", shape_output(shown, spec, F.col("day")))
-        write_output(published, spec, OUTPUT, skip_empty=False)
-        write_output(expand_days(known, first, last), spec, STATE, skip_empty=False)
+        _write_result(published, spec)
+        states = {"outputs": {STATE: {**place, "partition_by": [OUT_DAY], "mode": "overwrite"}}}
+        write_output(expand_days(known, first, last), states, STATE, skip_empty=False)
     return count.result()
 
 
+def _write_result(df: DataFrame, spec: Mapping[str, Any]) -> None:
+    """Writes once, evaluates once: where empty must not be written, the test runs on a stored copy."""
+    if replaces_partitions(spec["outputs"][OUTPUT]):
+        write_output(df, spec, OUTPUT, skip_empty=False)
+    else:
+        with materialised(df, "result") as rows:
+            write_output(rows, spec, OUTPUT)
+
+
 def _newest_state(spark: SparkSession, stored: Mapping[str, Any], first: date) -> date | None:
     """The last day before `first` whose state was kept."""
     try:

@@ -1,5 +1,5 @@
 """Writers by logical name."""
 
-from tidemark.sinks.write import output_type, write_output
+from tidemark.sinks.write import output_type, replaces_partitions, write_output
 
-__all__ = ["output_type", "write_output"]
+__all__ = ["output_type", "replaces_partitions", "write_output"]

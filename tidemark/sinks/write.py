@@ -29,6 +29,15 @@ def output_type(entry: Mapping[str, Any]) -> str:
     raise ValueError("output type is not stated and cannot be told from the other keys")
 
 
+def replaces_partitions(entry: Mapping[str, Any]) -> bool:
+    """Whether writing to this output touches only the partitions at hand, so that empty does no harm."""
+    return (
+        output_type(entry) in (*FILE_TYPES, "text_file")
+        and bool(entry.get("partition_by"))
+        and (entry.get("options_override") or {}).get("partitionOverwriteMode", "dynamic") == "dynamic"
+    )
+
+
 def write_output(
     df: DataFrame | None, spec: Mapping[str, Any], name: str, *, skip_empty: bool = True, **kwargs: Any
 ) -> bool:
