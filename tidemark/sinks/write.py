@@ -39,14 +39,21 @@ def replaces_partitions(entry: Mapping[str, Any]) -> bool:
 
 
 def write_output(
-    df: DataFrame | None, spec: Mapping[str, Any], name: str, *, skip_empty: bool = True, **kwargs: Any
+    df: DataFrame | None,
+    spec: Mapping[str, Any],
+    name: str,
+    *,
+    skip_empty: bool = True,
+    rebalance: bool = True,
+    **kwargs: Any,
 ) -> bool:
     """Writes to the output `name` of `spec["outputs"]`; False when there was nothing to write.
 
     The mode is `kwargs["mode"]`, else the output's `mode`, else overwrite (append on a drop folder).
     `partition_by` files are rebalanced by those columns first, so a day becomes a few full files and
-    a heavy day several tasks; an overwrite replaces only the partitions present in `df`, unless the
-    option `partitionOverwriteMode` says `static`.
+    a heavy day several tasks. Pass `rebalance=False` to save that shuffle where `df` holds a single
+    partition anyway. An overwrite replaces only the partitions present in `df`, unless the option
+    `partitionOverwriteMode` says `static`.
 
     The emptiness test evaluates `df` up to its first row. Pass `skip_empty=False` where an empty
     write does no harm.
@@ -70,16 +77,22 @@ def write_output(
         options = mongo_options(merge_options(connection(spec, entry), own), _required(entry, "collection", name))
         df.write.format("mongodb").mode(mode).options(**options).save()
     elif kind in (*FILE_TYPES, "text_file"):
-        _write_files(df, kind.removesuffix("_file"), _required(entry, "path", name), mode, entry, own)
+        _write_files(df, kind.removesuffix("_file"), _required(entry, "path", name), mode, entry, own, rebalance)
     elif kind in LANDING_TYPES:
-        _write_files(df, LANDING_TYPES[kind], _required(entry, "remote_base_path", name), mode, entry, own)
+        _write_files(df, LANDING_TYPES[kind], _required(entry, "remote_base_path", name), mode, entry, own, rebalance)
     else:
         raise NotImplementedError(f"output type {kind!r}")
     return True
 
 
 def _write_files(
-    df: DataFrame, file_format: str, path: str, mode: str, entry: Mapping[str, Any], options: dict[str, Any]
+    df: DataFrame,
+    file_format: str,
+    path: str,
+    mode: str,
+    entry: Mapping[str, Any],
+    options: dict[str, Any],
+    rebalance: bool,
 ) -> None:
     """Files at any Hadoop URI, written by the executors."""
     days = entry.get("partition_by") or []
@@ -90,7 +103,7 @@ def _write_files(
             raise ValueError(f"a text file holds one string column, not {rest}")
     if days:
         # Only adaptive execution splits a heavy day again; without it one task would write the day.
-        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        if rebalance and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             df = df.hint("rebalance", *days)
         options.setdefault("partitionOverwriteMode", "dynamic")
     df.write.format(file_format).mode(mode).options(**options).partitionBy(*days).save(path)
