@@ -36,6 +36,7 @@ from tidemark.plans import (
     last_done,
     read_progress,
     run_job,
+    shape_output,
 )
 from tidemark.sinks import write_output
 from tidemark.sources import active_parties, read_source, select_mapped, transactions
@@ -122,6 +123,10 @@ def last_transaction(spark, sf_dir):
     return calculate_last_transaction(active_of(spark, sf_dir), stand_in_transactions(spark, sf_dir), spec)
 
 
+def output_columns(spark, sf_dir):
+    return shape_output(last_transaction(spark, sf_dir), job_spec(sf_dir), AS_OF)
+
+
 def job_days_run(spark, sf_dir):
     """`initial` up to the 10th, then `catchup`: the carried state must reach every later day."""
     spec = _job_outputs(spark, job_spec(sf_dir))
@@ -409,6 +414,7 @@ def jdbc_write(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "last_transaction": last_transaction,
+        "output_columns": output_columns,
         "job_days_run": job_days_run,
         "job_range_run": job_range_run,
         "party_events": events_of,
@@ -491,6 +497,11 @@ def oracle_sql() -> dict[str, str]:
             WITH {_EV}
             SELECT msisdn, event_date AS zb_last_transaction_date, event_category AS zb_user_category
             FROM ({_RANKED} WHERE msisdn IN ({_ACTIVE})) WHERE rn = 1""",
+        "output_columns": f"""
+            WITH {_EV}
+            SELECT msisdn AS party_id, event_date AS zb_last_transaction_date, event_category AS zb_user_category,
+                   'building' AS zb_user_status, '2024-01-31' AS day
+            FROM ({_RANKED} WHERE msisdn IN ({_ACTIVE})) WHERE rn = 1""",
         "job_days_run": f"""
             WITH {_JOB_FEED}, {_DAYS}, {_AS_OF}
             SELECT msisdn AS party_id, event_date AS zb_last_transaction_date, event_category AS zb_user_category,

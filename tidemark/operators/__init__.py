@@ -2,7 +2,13 @@
 
 from tidemark.operators.calendar import catchup_days, each_day, processing_days, processing_range
 from tidemark.operators.events import party_events, union_events
-from tidemark.operators.latest import latest_event, latest_first, latest_per_key, only_parties
+from tidemark.operators.latest import (
+    latest_event,
+    latest_first,
+    latest_per_key,
+    newest_per_category,
+    only_parties,
+)
 from tidemark.operators.metrics import StageCounts
 from tidemark.operators.ranking import rank_events
 from tidemark.operators.snapshots import advance_state, daily_snapshots, expand_days, validity
@@ -17,6 +23,7 @@ __all__ = [
     "latest_event",
     "latest_first",
     "latest_per_key",
+    "newest_per_category",
     "only_parties",
     "party_events",
     "processing_days",
