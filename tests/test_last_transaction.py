@@ -74,6 +74,15 @@ def test_own_channel_names(spark):
     assert rows(calculate_last_transaction(users(spark, "a", "c"), tx, spec)) == [("a", at(1), "A")]
 
 
+def test_one_name_for_two_channels(spark):
+    tx = moves(spark, [("a", "b", at(1), "A", "B", "MOVE"), ("c", "d", at(1), "C", "D", "c2c")])
+    spec = {"business_logic": {"channel_c2s": "MOVE", "channel_o2c": "move", "channel_c2c": None}}
+    result = calculate_last_transaction(users(spark, *"abcd"), tx, spec)
+    assert [r[0] for r in rows(result)] == ["a", "b", "c", "d"]
+    with pytest.raises(ValueError, match="no channel rules"):
+        party_events(tx, {})
+
+
 def test_party_without_id_gives_no_event(spark):
     tx = moves(
         spark,

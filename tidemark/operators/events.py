@@ -31,6 +31,8 @@ def party_events(
     by_channel: dict[str, list[str]] = {}
     for name, acting in rules.items():
         by_channel.setdefault(name.upper(), []).extend(acting)
+    if not by_channel:
+        raise ValueError("no channel rules")
 
     def side(role: str):
         party, category = roles[role]

@@ -28,8 +28,11 @@ from tidemark.operators import latest_event, party_events
 def channel_rules(spec: Mapping[str, Any]) -> dict[str, tuple[str, ...]]:
     """The channel rules under the channel names the job definition gives."""
     logic = spec.get("business_logic", {})
-    names = {channel: logic.get(key, channel) for key, channel in CHANNEL_KEYS.items()}
-    return {names[channel]: roles for channel, roles in CHANNEL_RULES.items()}
+    rules: dict[str, tuple[str, ...]] = {}
+    for key, channel in CHANNEL_KEYS.items():
+        name = logic.get(key) or channel
+        rules[name] = rules.get(name, ()) + CHANNEL_RULES[channel]  # one name may stand for two channels
+    return rules
 
 
 def calculate_last_transaction(
