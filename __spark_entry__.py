@@ -42,6 +42,14 @@ from tidemark.sinks import write_output
 from tidemark.sources import active_parties, read_source, select_mapped, transactions
 from tidemark.storage import scratch_path
 
+# The text operators are a subpackage of their own; everything else works without it.
+try:
+    import tidemark.llm.queries as text_queries
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[:2] not in (["tidemark", "llm"], ["corpus_pipeline"]):
+        raise
+    text_queries = None
+
 # Channels of the stand-in transactions, and of the feed when the job reads it as transactions.
 FLAGS = {"channel_c2s": "a", "channel_o2c": "n", "channel_c2c": "r"}
 FEED_KINDS = {"channel_c2s": "click", "channel_o2c": "view", "channel_c2c": "purchase"}
@@ -412,6 +420,14 @@ def jdbc_write(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | (text_queries.queries() if text_queries else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_oracle_sql() | (text_queries.oracle_sql() if text_queries else {})
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "last_transaction": last_transaction,
         "output_columns": output_columns,
@@ -491,7 +507,7 @@ _AS_OF = f"""known AS (
   FROM days JOIN ev ON event_date < day + INTERVAL 1 DAY)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def own_oracle_sql() -> dict[str, str]:
     return {
         "last_transaction": f"""
             WITH {_EV}
