@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from tidemark.llm import sql
 from tidemark.llm.byte_bpe import encode_documents
+from tidemark.llm.divergence_rules import quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +27,18 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
+def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe}
+    return {
+        "op2_byte_bpe": op2_byte_bpe,
+        "op10_divergence_rules": op10_divergence_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op10_divergence_rules": sql.DIVERGENCE_RULES,
+    }
