@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from tidemark.llm import sql
 from tidemark.llm.byte_bpe import encode_documents
+from tidemark.llm.contamination import contamination, is_contaminated
 from tidemark.llm.divergence_rules import quality_rules
 
 
@@ -27,6 +28,18 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
+def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
@@ -34,11 +47,13 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op8_prefix_join": op8_prefix_join,
         "op10_divergence_rules": op10_divergence_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_prefix_join": sql.CONTAMINATION,
         "op10_divergence_rules": sql.DIVERGENCE_RULES,
     }

@@ -58,3 +58,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
                       OR coalesce(word_distance > 0.13 + 1.9 / sqrt(n_words), false)) END AS kept
 FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM base)
 LEFT JOIN dist_chars USING (rid) LEFT JOIN dist_words USING (rid)"""
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS words FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i
+        FROM (SELECT *, least(13, len(words)) AS n FROM b) WHERE n > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+runs AS (
+  SELECT rid, n, i, array_to_string(list_slice(words, i, i + n - 1), ' ') AS win
+  FROM (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, sizes)),
+hits AS (SELECT DISTINCT rid, i, r.n, item_id FROM runs r JOIN windows w ON r.win = w.win),
+covered AS (
+  SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY rid),
+named AS (
+  SELECT rid, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+  FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)"""
