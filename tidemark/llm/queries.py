@@ -12,6 +12,7 @@ from tidemark.llm import sql
 from tidemark.llm.byte_bpe import encode_documents
 from tidemark.llm.contamination import contamination, is_contaminated
 from tidemark.llm.divergence_rules import quality_rules
+from tidemark.llm.near_duplicates import near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,10 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -47,6 +52,7 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op6_near_duplicates": op6_near_duplicates,
         "op8_prefix_join": op8_prefix_join,
         "op10_divergence_rules": op10_divergence_rules,
     }
