@@ -10,15 +10,43 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from tidemark.llm import sql
 from tidemark.llm.byte_bpe import encode_documents
+from tidemark.llm.compression_quality import QualityModel, fit_quality, quality
 from tidemark.llm.contamination import contamination, is_contaminated
 from tidemark.llm.divergence_rules import quality_rules
 from tidemark.llm.near_duplicates import near_duplicates
+from tidemark.llm.pu_toxicity import fit_toxicity, toxicity
+from tidemark.llm.training import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out rows give neither labels nor unlabelled text. The class prior is the share of toxic labels."""
+    docs = table(spark, sf_dir, "documents")
+    learn = remainder("doc_id", 5) != 0
+    labels = table(spark, sf_dir, "labels").where(learn & F.col("toxic").isNotNull())
+    prior = labels.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
+    model = fit_toxicity(docs.where(learn), labels.where("toxic = 1"), prior=prior)
+    return verdicts(toxicity(docs, model), remainder("doc_id", 5) == 0, 0.5)
+
+
+def verdicts(scores: DataFrame, held_out, least: float) -> DataFrame:
+    predicted = (F.col("score") >= least).cast("int")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> QualityModel:
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
+    return fit_quality(docs, labels.select("doc_id", F.col("quality").alias("label")))
+
+
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return verdicts(quality(docs, quality_model(docs, spark, sf_dir)), remainder("doc_id", 4) == 2, 0.7)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -51,7 +79,9 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pu_toxicity": op1_pu_toxicity,
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_compression_quality": op3_compression_quality,
         "op6_near_duplicates": op6_near_duplicates,
         "op8_prefix_join": op8_prefix_join,
         "op10_divergence_rules": op10_divergence_rules,
