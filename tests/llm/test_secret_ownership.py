@@ -1,0 +1,99 @@
+import re
+from hashlib import sha256
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm.queries import queries
+from tidemark.llm.secret_ownership import KINDS, base_spans, looks_random, scan_secrets
+
+SF = "/root/testdata/sf0.01"
+PLAIN = re.compile(
+    r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+    r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def plain(text):
+    out = [(m.start(), m.end(), "assign") for m in PLAIN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
+
+
+def joined(spans):
+    return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
+
+
+PIECES = ["password", "Token", "api_key", "APIKEY", "secret", "toKen", "Key", " ", "=", ":", '"', "'", "AKIA", "ABCDEFGH",
+          "0123456789abcdef", "deadbeef", "g", "\n", "é", "x/y+z", "İ", "İ", "x" * 7]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14))
+def test_base_spans(pieces):
+    text = "".join(pieces)
+    assert [(s, e, KINDS[k]) for s, e, k, _ in base_spans(text)] == plain(text)
+
+
+def test_random_values():
+    assert looks_random("9f8a7c6b5d4e3f2a1b0c9d8e") and looks_random("tR9$kLm2Qz")
+    assert not looks_random("aaaaaaaaaaaaaaaa") and not looks_random("your-key-here") and not looks_random("abc")
+
+
+def test_ownership(spark):
+    live, copied, weak = "q8Zr5Tk2Lm9Xw4Vb7Nc1", "k3Jd8Fh2Gs7Aq1Wp6Ye4", "aaaaaaaa"
+    rows = [
+        (1, f"password = {live}", "a", "a/1"),
+        (2, f"see {live} here", "a", "a/2"),
+        (3, f"token: '{copied}'", "a", "a/1"),
+        (4, f"token: '{copied}'", "b", "b/1"),
+        (5, f"token={copied} {copied}", "c", None),
+        (6, f"the {copied} again", "d", "d/1"),
+        (7, f"secret={weak} f00df00df00df00df00df00df00d", "d", "d/1"),
+        (8, "nothing q8Zr5Tk2Lm9Xw4Vb7Nc2", None, None),
+        (9, None, "a", "a/1"),
+        (9, "", "a", "a/1"),
+        (None, f"token:{live}", "a", "a/3"),
+        (10, "word " * 100_000 + f"password={live}", "a", "a/1"),
+        (10, "word " * 100_000 + f"password={live}", "a", "a/1"),
+    ]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, owner string, repository string, hash string, kind string")
+    found = scan_secrets(docs).collect()
+    assert len(found) == len(rows)
+    by = {}
+    for r in found:
+        by.setdefault(r.doc_id, []).append([(KINDS[s.kind], s.verdict, s.owners, s.repositories) for s in r.spans])
+    assert by[1] == [[("assign", "live", 1, 3)]] and by[2] == [[("bare", "live", 1, 3)]]
+    assert by[3] == [[("assign", "copied", 4, 4)]] and by[6] == [[]]
+    assert by[5] == [[("assign", "copied", 4, 4)]]
+    assert [s[:2] for s in by[7][0]] == [("assign", "weak"), ("hex", "weak")]
+    assert by[8] == [[]] and by[9] == [[], []] and by[10] == [[("assign", "live", 1, 3)]] * 2
+    assert by[None] == [[("assign", "live", 1, 3)]]
+    assert scan_secrets(docs.where("false")).count() == 0
+
+
+def test_query(spark):
+    got = {r.doc_id: r for r in queries()["op7_secret_ownership"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    owners = {}
+    for doc in docs:
+        for start, end, kind in plain(doc.text):
+            value = PLAIN.match(doc.text, start)[2] if kind == "assign" else doc.text[start:end]
+            owners.setdefault(value, set()).add(doc.source)
+    assert len(got) == len(docs)
+    added = 0
+    for doc in docs:
+        row, spans = got[doc.doc_id], plain(doc.text)
+        assert row.base_sha256 == sha256(joined(spans).encode()).hexdigest()
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(s[2] == k for s in spans) for k in KINDS[:3]]
+        every = row.spans.split(",") if row.spans else []
+        assert [s for s in every if not s.startswith("bare")] == joined(spans).split(",")[: len(spans)]
+        for span in (s for s in every if s.startswith("bare")):
+            _, start, end = span.split(":")
+            assert len(owners[doc.text[int(start) : int(end)]]) < 3
+            added += 1
+    assert sum(r.n_live + r.n_copied + r.n_weak for r in got.values()) == added + sum(
+        r.n_assign + r.n_access + r.n_hex for r in got.values()
+    )

@@ -15,6 +15,7 @@ from tidemark.llm.contamination import contamination, is_contaminated
 from tidemark.llm.divergence_rules import quality_rules
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.pu_toxicity import fit_toxicity, toxicity
+from tidemark.llm.secret_ownership import KINDS, scan_secrets, spans_text
 from tidemark.llm.training import remainder
 
 
@@ -61,6 +62,24 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source owns its documents; those of one language are a repository."""
+    found = scan_secrets(
+        table(spark, sf_dir, "documents"), owner="source", repository=F.concat_ws("/", "source", "lang")
+    )
+
+    def count(spans: str, field: str, value: int | str, name: str):
+        return F.size(F.filter(spans, lambda span: span[field] == value)).cast("long").alias(f"n_{name}")
+
+    return found.select(
+        "doc_id",
+        *(count("base", "kind", i, kind) for i, kind in enumerate(KINDS[:3])),
+        F.sha2(spans_text("base"), 256).alias("base_sha256"),
+        spans_text("spans").alias("spans"),
+        *(count("spans", "verdict", verdict, verdict) for verdict in ("live", "copied", "weak")),
+    )
+
+
 def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -83,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_compression_quality": op3_compression_quality,
         "op6_near_duplicates": op6_near_duplicates,
+        "op7_secret_ownership": op7_secret_ownership,
         "op8_prefix_join": op8_prefix_join,
         "op10_divergence_rules": op10_divergence_rules,
     }
