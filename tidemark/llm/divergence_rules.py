@@ -5,6 +5,9 @@ classes and of its most common words. A document is kept if it passes the base r
 histograms are near its language's, by Jensen-Shannon distance. A histogram of few words strays by
 chance, about as one over the square root of their number, so the limit has a part that shrinks with
 length; below a minimum length there is no verdict.
+
+Texts are read twice: once for the most common words of each language, once for all counts of a
+document. The counts are written as a small table, from which the references and distances follow.
 """
 
 from __future__ import annotations
@@ -12,37 +15,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPACE = " \t\n\x0b\x0c\r"
-SPACES = r"[\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
-CLASSES = ("lower", "upper", "digit", "space", "symbol", "other")
+from tidemark.llm.tables import saved
 
+SPACES = r"[\x20\x09-\x0D]+"
 
-def _drop(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
 
+def _without(text: Column, *strings: str) -> Column:
+    for string in strings:
+        text = F.replace(text, F.lit(string), F.lit(""))
+    return text
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, SPACES), "")
 
+def common_words(docs: DataFrame, common: int, share: int) -> DataFrame:
+    """`lang, top` for each language of at least one in `share` documents, so of at most `share` rows.
 
-def _plain(text: Column) -> Column:
-    """Lower case without full stops and commas: how words are compared with the reference."""
-    return _drop(F.lower(text), ".,")
+    `top` has the `common` most frequent words, runs of letters in lower case, with their counts in all
+    documents; ties go to the lesser word.
+    """
+    known = docs.where(F.col("lang").isNotNull())
+    total = docs.agg(F.count(F.lit(1)).alias("n_all"))
+    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
+    langs = langs.join(F.broadcast(total)).where(F.col("n_docs") * share >= F.col("n_all")).select("lang")
+    tokens = known.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
+    counts = tokens.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    first = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("word"))
+    top = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= common)
+    top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
+    return langs.join(top, "lang")
 
 
-def base_rules(docs: DataFrame) -> DataFrame:
-    """`doc_id, lang, text, length` and the base counts of `doc_id, lang, text`.
+def document_counts(docs: DataFrame, top: DataFrame) -> DataFrame:
+    """One row per row of `docs(doc_id, lang, text)`: the base counts, `classes` (characters by class) and `found`
+    (occurrences of each top word of the language).
 
     Windows of three words are compared by hash. Where some occur twice, their hashes are sorted with
     their places, equal neighbours give the places of repeated windows, and each place in order adds
     three words less those the next place covers again.
     """
-    text, n = F.col("text"), F.col("n_words")
-    lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(_drop(line, SPACE)) > 0)
+    text, n, length = F.col("text"), F.col("n_words"), F.col("length")
     windows = F.transform(
-        F.sequence(F.lit(1), n - 2),
-        lambda i: F.xxhash64(F.get("words", i - 1), F.get("words", i), F.get("words", i + 1)),
+        F.slice("hashes", 1, F.greatest(n - 2, F.lit(0))),
+        lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2)),
     )
     none = F.array().cast("array<struct<g:bigint,i:int>>")
     placed = F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
@@ -53,69 +66,72 @@ def base_rules(docs: DataFrame) -> DataFrame:
 
     places = F.sort_array(F.transform(F.filter("placed", repeated), lambda x: x["i"]))
     steps = F.transform("places", lambda at, i: F.least(F.coalesce(F.get("places", i + 1) - at, F.lit(3)), F.lit(3)))
-    length = F.length(text)
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    # Words with a line feed on either side: taking one out shortens the text by its occurrences.
+    joined = F.array_join("words", "\n\n")
+    marked = F.concat(F.lit("\n"), _without(F.lower("joined"), ".", ","), F.lit("\n"))
+
+    def occurrences(word: Column) -> Column:
+        own = F.concat(F.lit("\n"), word, F.lit("\n"))
+        cut = F.octet_length("marked") - F.octet_length(F.replace(F.col("marked"), own, F.lit("")))
+        return (cut / F.octet_length(own)).cast("long")
+
+    rest = F.regexp_replace(text, r"[a-zA-Z\p{L}\x20\x09-\x0D]+", "")
     counted = (
-        docs.withColumn("words", _words(text))
-        .withColumn("n_words", F.size("words"))
-        .withColumn("grams", F.when(n >= 3, windows).otherwise(F.array().cast("array<bigint>")))
+        docs.join(F.broadcast(top), "lang", "left")
+        .withColumn("words", F.array_remove(F.split(text, SPACES), ""))
+        .withColumns({"n_words": F.size("words"), "length": F.length(text), "joined": joined, "rest": rest})
+        .withColumns(
+            {
+                "hashes": F.transform("words", lambda w: F.xxhash64(w)),
+                "lines": lines,
+                "marked": marked,
+                "word_chars": F.length("joined") - 2 * F.greatest(n - 1, F.lit(0)),
+                "n_rest": F.length("rest"),
+                "n_upper": F.length(F.regexp_replace(text, r"[^\p{Lu}]+", "")),
+                "n_digits": F.length(F.regexp_replace("rest", "[^0-9]+", "")),
+                "n_symbols": F.length(F.regexp_replace("rest", "[^#*$%&|<>]+", "")),
+            }
+        )
+        .withColumn("grams", windows)
         .withColumn("placed", F.when(F.size(F.array_distinct("grams")) < F.size("grams"), placed).otherwise(none))
-        .withColumns({"places": places, "lines": lines})
+        .withColumn("places", places)
     )
-    out = counted.select(
+    spaces = length - F.col("word_chars")
+    classes = F.array(
+        length - spaces - F.col("n_rest") - F.col("n_upper"),
+        F.col("n_upper"),
+        F.col("n_digits"),
+        spaces,
+        F.col("n_symbols"),
+        F.col("n_rest") - F.col("n_digits") - F.col("n_symbols"),
+    )
+    return counted.select(
         "doc_id",
         "lang",
-        "text",
-        length.alias("length"),
         n.cast("long").alias("n_words"),
-        F.length(_drop(text, SPACE)).cast("long").alias("word_chars"),
-        (length - F.length(_drop(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        F.col("word_chars").cast("long").alias("word_chars"),
+        F.col("n_symbols").cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.aggregate(steps, F.lit(0), lambda total, step: total + step).cast("long").alias("n_repeat_words"),
+        length.cast("long").alias("length"),
+        classes.cast("array<bigint>").alias("classes"),
+        F.transform("top", lambda w: occurrences(w["word"])).alias("found"),
     )
-    return out.withColumn("base_failed", (n < 50) | (100 * F.col("n_repeat_words") > 50 * n))
-
-
-def character_classes(text: Column) -> dict[str, Column]:
-    """Characters per class; they add up to the length."""
-    length = F.length(text)
-    counts = {
-        "lower": length - F.length(F.regexp_replace(text, r"\p{Ll}+", "")),
-        "upper": length - F.length(F.regexp_replace(text, r"\p{Lu}+", "")),
-        "digit": length - F.length(_drop(text, "0123456789")),
-        "space": length - F.length(_drop(text, SPACE)),
-        "symbol": length - F.length(_drop(text, SYMBOLS)),
-    }
-    counts["other"] = length - sum(counts.values())
-    return counts
-
-
-def references(docs: DataFrame, common: int, share: int) -> DataFrame:
-    """One row per language that holds at least one of `share` documents, so never more than `share` rows:
-    `lang`, `ref_words` (word and share of all words, the `common` most frequent with a letter first),
-    `ref_classes` (share of all characters by class)."""
-    text = F.col("text")
-    sums = {name: F.sum(count.cast("long")).alias(name) for name, count in character_classes(text).items()}
-    by_lang = docs.where(F.col("lang").isNotNull()).groupBy("lang")
-    classes = by_lang.agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.sum(F.length(text).cast("long")).alias("n_chars"),
-        F.sum(F.size(_words(text)).cast("long")).alias("n_total"),
-        *sums.values(),
-    )
-    documents = docs.agg(F.count(F.lit(1)).alias("n_all"))
-    classes = classes.join(F.broadcast(documents)).where(F.col("n_docs") * share >= F.col("n_all"))
-    shares = F.array(*((F.col(name) / F.col("n_chars")) for name in CLASSES))
 
-    tokens = docs.where(F.col("lang").isNotNull()).select("lang", F.explode(F.split(_plain(text), SPACES)).alias("word"))
-    counts = tokens.where(F.col("word").rlike(r"^\p{L}+$")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    first = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("word"))
-    top = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= common)
-    words = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    ref_words = F.transform("top", lambda w: F.struct(w["word"].alias("word"), (w["n"] / F.col("n_total")).alias("q")))
-    return classes.join(words, "lang").select("lang", ref_words.alias("ref_words"), shares.alias("ref_classes"))
+
+def references(counts: DataFrame, top: DataFrame) -> DataFrame:
+    """`lang, ref_words, ref_classes`: shares of all words and of all characters, a row per row of `top`."""
+    sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(6)]
+    totals = counts.where(F.col("lang").isNotNull()).groupBy("lang")
+    totals = totals.agg(F.sum("n_words").alias("n_total"), F.sum("length").alias("n_chars"), *sums)
+    words = F.transform("top", lambda w: w["n"] / F.col("n_total"))
+    classes = F.array(*(F.col(f"c{i}") / F.col("n_chars") for i in range(6)))
+    joined = totals.where("n_total > 0").join(F.broadcast(top), "lang")
+    return joined.select("lang", words.alias("ref_words"), classes.alias("ref_classes"))
 
 
-def _divergence(pairs: Column, rest: tuple[Column, Column] | None = None) -> Column:
+def _distance(pairs: Column, rest: tuple[Column, Column] | None = None) -> Column:
     """Jensen-Shannon distance, base 2, of the distributions in an array of (p, q); `rest` adds one more pair."""
 
     def term(p: Column, q: Column) -> Column:
@@ -128,39 +144,21 @@ def _divergence(pairs: Column, rest: tuple[Column, Column] | None = None) -> Col
     return F.when(pairs.isNotNull(), F.sqrt(F.greatest(total, F.lit(0.0))))
 
 
-def distances(rows: DataFrame, refs: DataFrame) -> DataFrame:
-    """Adds `char_distance` and `word_distance` to rows with `text, n_words, length`; null without a reference."""
-    text, line = F.col("text"), F.lit("\n")
-    # Words between two line feeds each: taking out a word shortens the text by its occurrences.
-    marked = F.concat(line, F.regexp_replace(_plain(text), SPACES, "\n\n"), line)
+def distances(counts: DataFrame, refs: DataFrame) -> DataFrame:
+    """Adds `char_distance` and `word_distance`; null without a reference or without text."""
 
-    def occurrences(word: Column) -> Column:
-        cut = F.octet_length("_marked") - F.octet_length(F.replace(F.col("_marked"), F.concat(line, word, line), F.lit("")))
-        return cut / (F.octet_length(word) + 2)
-
-    counts = character_classes(text)
-    chars = F.array(*(counts[name] for name in CLASSES))
-    joined = rows.join(F.broadcast(refs), "lang", "left").withColumns({"_marked": marked, "_chars": chars})
-    word_pairs = F.transform(
-        "ref_words",
-        lambda r: F.struct((occurrences(r["word"]) / F.col("n_words")).alias("p"), r["q"].alias("q")),
-    )
-    char_pairs = F.zip_with(
-        "_chars", "ref_classes", lambda n, q: F.struct((n / F.col("length")).alias("p"), q.alias("q"))
-    )
-    paired = joined.withColumns(
-        {
-            "_word_pairs": F.when((F.col("n_words") > 0) & F.col("ref_words").isNotNull(), word_pairs),
-            "_char_pairs": F.when((F.col("length") > 0) & F.col("ref_classes").isNotNull(), char_pairs),
-        }
+    def pairs(seen: str, of: str, ref: str) -> Column:
+        both = F.zip_with(seen, ref, lambda n, q: F.struct((n / F.col(of)).alias("p"), q.alias("q")))
+        return F.when((F.col(of) > 0) & F.col(ref).isNotNull(), both)
+
+    joined = counts.join(F.broadcast(refs), "lang", "left")
+    joined = joined.withColumns(
+        {"_words": pairs("found", "n_words", "ref_words"), "_chars": pairs("classes", "length", "ref_classes")}
     )
-    total = lambda side: F.aggregate("_word_pairs", F.lit(0.0), lambda acc, x: acc + x[side])
+    total = lambda side: F.aggregate("_words", F.lit(0.0), lambda acc, x: acc + x[side])
     rest = (F.greatest(1 - total("p"), F.lit(0.0)), F.greatest(1 - total("q"), F.lit(0.0)))
-    return paired.withColumns(
-        {
-            "char_distance": _divergence(F.col("_char_pairs")),
-            "word_distance": _divergence(F.col("_word_pairs"), rest),
-        }
+    return joined.withColumns(
+        {"char_distance": _distance(F.col("_chars")), "word_distance": _distance(F.col("_words"), rest)}
     )
 
 
@@ -170,7 +168,7 @@ def quality_rules(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    common_words: int = 20,
+    common: int = 20,
     language_share: int = 200,
     char_limit: tuple[float, float] = (0.15, 0.8),
     word_limit: tuple[float, float] = (0.13, 1.9),
@@ -190,7 +188,10 @@ def quality_rules(
         F.col(lang).cast("string").alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    found = distances(base_rules(rows), references(rows, common_words, language_share))
+    top = saved(common_words(rows, common, language_share), "common_words")
+    counts = saved(document_counts(rows, top), "document_counts")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    found = distances(counts.withColumn("base_failed", failed), references(counts, top))
     limit = lambda ab: F.lit(ab[0]) + F.lit(ab[1]) / F.sqrt(F.col("n_words"))
     far = (F.col("char_distance") > limit(char_limit)) | (F.col("word_distance") > limit(word_limit))
     verdict = F.when(F.col("base_failed"), False).when(F.col("n_words") < min_words, True)

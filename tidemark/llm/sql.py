@@ -22,9 +22,9 @@ base AS (
          len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM w LEFT JOIN rep ON w.rid = rep.rid),
 classes AS (
-  SELECT *, [n_lower, n_upper, n_digit, n_chars - word_chars, n_symbols,
-             n_chars - n_lower - n_upper - n_digit - (n_chars - word_chars) - n_symbols] AS cls
-  FROM (SELECT *, n_chars - length(regexp_replace(t, '\p{{Ll}}+', '', 'g')) AS n_lower,
+  SELECT *, [n_letter - n_upper, n_upper, n_digit, n_chars - word_chars, n_symbols,
+             word_chars - n_letter - n_digit - n_symbols] AS cls
+  FROM (SELECT *, n_chars - length(regexp_replace(t, '\p{{L}}+', '', 'g')) AS n_letter,
                n_chars - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')) AS n_upper,
                n_chars - length(translate(t, '0123456789', '')) AS n_digit FROM base)),
 langs AS (
@@ -34,13 +34,13 @@ ref_classes AS (
   SELECT c.lang, k, sum(cls[k]) / any_value(lang_chars) AS q
   FROM classes c JOIN langs USING (lang), (SELECT unnest(range(1, 7)) AS k) GROUP BY c.lang, k),
 tokens AS (
-  SELECT rid, lang, word, count(*) AS n
-  FROM (SELECT rid, lang, unnest(regexp_split_to_array({_PLAIN}, {_WS})) AS word FROM d)
-  WHERE lang IS NOT NULL AND regexp_matches(word, '^\p{{L}}+$') GROUP BY rid, lang, word),
+  SELECT rid, word, count(*) AS n
+  FROM (SELECT rid, unnest(regexp_split_to_array({_PLAIN}, {_WS})) AS word FROM d) GROUP BY rid, word),
 ref_words AS (
   SELECT lang, word, n / lang_words AS q
-  FROM (SELECT lang, word, sum(n) AS n, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, word) AS r
-        FROM tokens GROUP BY lang, word) JOIN langs USING (lang) WHERE r <= 20),
+  FROM (SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS r
+        FROM (SELECT lang, unnest(regexp_split_to_array(lower(t), '[^\p{{L}}]+')) AS word FROM d)
+        WHERE lang IS NOT NULL AND word <> '' GROUP BY lang, word) JOIN langs USING (lang) WHERE r <= 20),
 dist_chars AS (
   SELECT rid, sqrt(greatest(sum({_TERM}), 0)) AS char_distance
   FROM (SELECT rid, cls[k] / n_chars AS p, q FROM classes JOIN ref_classes USING (lang) WHERE n_chars > 0) GROUP BY rid),
@@ -83,3 +83,35 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        coalesce(items_sha256, sha256('')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)"""
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS digest FROM pages),
+s AS (SELECT *, strlen(payload) AS size FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM s WHERE size >= 100 GROUP BY digest)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN size >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 100 AND page_id <> first THEN first END AS refers_to
+FROM s LEFT JOIN f USING (digest)"""
+
+_TRIMMED = rf"lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'))"
+
+LINE_SPREAD = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (
+  SELECT rid, doc_id, source, i, line,
+         CASE WHEN len([w FOR w IN regexp_split_to_array({_TRIMMED}, {_WS}) IF w <> '']) >= 4 THEN {_TRIMMED} END AS key
+  FROM (SELECT rid, doc_id, source, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+spread AS (
+  SELECT key, count(DISTINCT coalesce(source, '')) AS sites,
+         min({{'none': doc_id IS NULL, 'id': doc_id, 'i': i}}) AS first
+  FROM l WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT coalesce(source, '')) >= 8),
+m AS (
+  SELECT l.*, spread.key IS NOT NULL AND {{'none': doc_id IS NULL, 'id': doc_id, 'i': i}} <> first AS gone
+  FROM l LEFT JOIN spread ON l.key = spread.key),
+c AS (
+  SELECT rid, count(key) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS clean
+  FROM m GROUP BY rid)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(clean, '')) END AS clean_sha256
+FROM d LEFT JOIN c USING (rid)"""
