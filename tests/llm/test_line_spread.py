@@ -1,0 +1,71 @@
+import random
+
+import pytest
+
+from tidemark.llm.line_spread import boilerplate_lines, spread_lines
+
+SCHEMA = "doc_id long, text string, source string, row string, removed string, key string"
+SPACE = " \t\x0b\x0c\r"
+
+
+def brute(rows, min_sites=8, min_words=4):
+    def key(line):
+        plain = line.strip(SPACE + "\n").lower()
+        return plain if plain and len([w for w in plain.replace("\t", " ").split(" ") if w]) >= min_words else None
+
+    sites, first = {}, {}
+    for doc_id, text, site, *_ in rows:
+        for place, line in enumerate((text or "").split("\n")):
+            if k := key(line):
+                sites.setdefault(k, set()).add(site or "")
+                at = (doc_id is None, doc_id or 0, place)
+                first[k] = min(first.get(k, at), at)
+    out = []
+    for doc_id, text, *_ in rows:
+        lines = (text or "").split("\n")
+        gone = [
+            (k := key(line)) is not None and len(sites[k]) >= min_sites and (doc_id is None, doc_id or 0, i) != first[k]
+            for i, line in enumerate(lines)
+        ]
+        clean = None if text is None else "\n".join(line for line, g in zip(lines, gone) if not g)
+        out.append((doc_id, sum(key(line) is not None for line in lines), sum(gone), clean))
+    return out
+
+
+def test_against_brute_force(spark):
+    pick = random.Random(4)
+    shared = [f"shared line number {i} of all" for i in range(12)]
+    rows = []
+    for i in range(400):
+        lines = [f"own line {i} {j} with words" for j in range(pick.randint(0, 4))]
+        for j, line in enumerate(shared):
+            # The number of sites goes from few to all, past the threshold.
+            if pick.random() < 0.3 and i % 20 <= j + 2:
+                lines.insert(pick.randint(0, len(lines)), pick.choice([line, line.upper(), f"  {line}\t"]))
+        lines += ["that.", ""][: pick.randint(0, 2)]
+        rows.append((i, "\n".join(lines), f"s{i % 20}", "x", "y", "z"))
+    rows += [(None, shared[9] + "\n\n" + shared[11], None, "x", "y", "z"), (900, None, "s1", "x", "y", "z"), (901, "", "s1", "x", "y", "z")]
+    rows += [rows[5], rows[5], (902, "\n".join([shared[11]] * 3 + ["end"]), "s3", "x", "y", "z")]
+    got = spread_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, str(r))
+    expected = sorted(brute(rows), key=key)
+    assert sorted(((r.doc.doc_id, r.n_lines, r.n_removed, r.clean) for r in got), key=key) == expected
+    assert sum(r[2] for r in expected) > 300
+    assert got[0].doc.asDict().keys() == {"doc_id", "text", "source", "row", "removed", "key"}
+
+
+@pytest.mark.parametrize("min_sites", [2, 3, 50, 3000])
+def test_threshold_is_exact(spark, min_sites):
+    """Lines one below, at and one above the threshold, where a sketch alone cannot tell."""
+    rows = [(f"{d}".encode(), f"site{i}") for d in (-1, 0, 1) for i in range(min_sites + d)]
+    lines = spark.createDataFrame(rows + rows, "key binary, site string")
+    assert sorted(bytes(r.key) for r in boilerplate_lines(lines, min_sites).collect()) == [b"0", b"1"]
+
+
+def test_empty_and_long(spark):
+    assert spread_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+    text = "\n".join(f"line {i} of a long text" for i in range(20_000))
+    rows = [(i, text, f"s{i}", "", "", "") for i in range(9)]
+    got = {r.doc.doc_id: r for r in spread_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[0].clean == text and got[0].n_removed == 0
+    assert all(got[i].clean == "" and got[i].n_removed == 20_000 for i in range(1, 9))

@@ -1,0 +1,130 @@
+import re
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm.pii_crf import (
+    KINDS,
+    LABELS,
+    Field,
+    Graph,
+    added_spans,
+    base_spans,
+    find_personal_data,
+    fit_field,
+    graph,
+    marginals,
+)
+from tidemark.llm.queries import queries
+
+SF = "/root/testdata/sf0.01"
+PATTERNS = (
+    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+def sums_to_ten(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
+
+
+def plain(text):
+    out = []
+    for kind, pattern in enumerate(PATTERNS):
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = (
+                True,
+                all(int(p or 0) <= 255 for p in m[0].split(".")[:4]) if kind == 1 else True,
+                16 <= len(digits) <= 19 and sums_to_ten(digits),
+                8 <= len(digits) <= 15,
+            )[kind]
+            if good:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+PIECES = ["a", "b.c", "@", "x-y", ".", "..", "%", "+", "1", "25", "255", "300", "007", " ", "-", "(", ")", "4111", "1111",
+          "4111 1111 1111 1111", "é", "\n", "+1 (499) 555-6503", "10.0.0.1", "m@d.org"]
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=16))
+def test_base_spans(pieces):
+    text = "".join(pieces)
+    assert base_spans(text) == plain(text)
+
+
+def test_long_runs_are_linear():
+    for piece in ("1", "1.", "a", "1 ", "+1(", "a@", ".", "1.1.1.1."):
+        base_spans(piece * 200_000)
+        text = piece * 20_000
+        graph(text, base_spans(text))
+
+
+def test_messages_are_exact_on_a_tree():
+    """On a chain without loops the passed messages give the true marginals."""
+    pick = np.random.default_rng(3)
+    k, n = len(LABELS), 4
+    field = Field(np.zeros((18, k)), pick.normal(size=(k, k)), pick.normal(size=(k, k)))
+    field = Field(pick.normal(size=(18, k)), field.chain, field.skip)
+    net = Graph([(i, i + 1, 2 if i == 2 else -1) for i in range(n)], pick.normal(size=(n, 18)), [(0, 1, 0), (1, 2, 1), (2, 3, 0)])
+    own = net.features @ field.shape
+    true = np.zeros((n, k))
+    for labels in np.ndindex(*(k,) * n):
+        if labels[2] != 2:
+            continue
+        score = sum(own[i, labels[i]] for i in (0, 1, 3))
+        score += field.chain[labels[0], labels[1]] + field.skip[labels[1], labels[2]] + field.chain[labels[2], labels[3]]
+        for i in range(n):
+            true[i, labels[i]] += np.exp(score)
+    assert np.allclose(marginals(field, net), true / true.sum(axis=1, keepdims=True), atol=0.02)
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return fit_field(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def kinds_of(field, text):
+    return [(KINDS[k], text[s:e]) for k, s, e in added_spans(field, text, base_spans(text))]
+
+
+def test_similar_tokens_get_the_label(field):
+    text = "Call +1 (499) 555-6503 today. Much later: 499 555 6503, or 499-555-6503. Order 7315021, in 1999."
+    assert kinds_of(field, text) == [("phone", "499 555 6503"), ("phone", "499-555-6503")]
+    text = "Write to jane.doe42@mail.example.com. Logged in: jane.doe42@localhost, as Jane.Doe42 says"
+    assert ("email", "jane.doe42@localhost") in kinds_of(field, text)
+    assert kinds_of(field, "+1 (499) 555-6503 and 20 of 1300 others in 2024, 10:30, 1234567") == []
+    assert kinds_of(field, "nothing here, 4995556503 12 12 12") == []
+
+
+def test_rows(spark, field):
+    text = "a@b.co " + "word " * 100_000 + "a@b.co"
+    rows = [(1, None), (2, ""), (None, "x 10.0.0.1"), (3, "x 10.0.0.1"), (3, "x 10.0.0.1"), (4, text)]
+    docs = spark.createDataFrame([(*r, "q", "r") for r in rows], "doc_id long, text string, base string, spans string")
+    got = [(r.doc_id, [tuple(s) for s in r.base], len(r.spans)) for r in find_personal_data(docs, field).collect()]
+    assert got[:2] == [(1, [], 0), (2, [], 0)]
+    assert got[2][0] is None and got[2][1] == got[3][1] == got[4][1] == [(1, 2, 10)]
+    assert got[5][1] == [(0, 0, 6), (0, len(text) - 6, len(text))]
+    assert find_personal_data(docs.where("false"), field).count() == 0
+    empty = fit_field(docs.where("false"))
+    assert find_personal_data(docs, empty).count() == 6
+
+
+def test_query(spark):
+    got = {r.doc_id: r for r in queries()["op5_skip_chain_crf"](spark, SF).collect()}
+    for doc in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        row, spans = got.pop(doc.doc_id), plain(doc.text)
+        text = ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
+        assert row.base_sha256 == sha256(text.encode()).hexdigest()
+        assert [row[f"n_{kind}"] for kind in KINDS] == [sum(s[0] == i for s in spans) for i in range(4)]
+        every = row.spans.split(",") if row.spans else []
+        assert [s for s in every if s in text.split(",")] == (text.split(",") if text else [])
+    assert not got

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from tidemark.llm import pii_crf as pii
 from tidemark.llm import sql
 from tidemark.llm.byte_bpe import encode_documents
 from tidemark.llm.compression_quality import QualityModel, fit_quality, quality
 from tidemark.llm.contamination import contamination, is_contaminated
 from tidemark.llm.divergence_rules import quality_rules
+from tidemark.llm.line_spread import spread_lines
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.pu_toxicity import fit_toxicity, toxicity
 from tidemark.llm.secret_ownership import KINDS, scan_secrets, spans_text
 from tidemark.llm.training import remainder
+from tidemark.llm.warc import archive_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +61,27 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spread_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2("clean", 256).alias("clean_sha256")
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", digest)
+
+
+def op5_skip_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal_data(docs, pii.fit_field(docs))
+
+    def count(i: int, kind: str):
+        return F.size(F.filter("base", lambda span: span["kind"] == i)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(i, kind) for i, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.spans_text("base"), 256).alias("base_sha256"),
+        pii.spans_text("spans").alias("spans"),
+    )
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -92,6 +116,17 @@ def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, _ = archive_pages(table(spark, sf_dir, "pages"))
+    return records.select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
@@ -101,15 +136,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pu_toxicity": op1_pu_toxicity,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_compression_quality": op3_compression_quality,
+        "op4_line_spread": op4_line_spread,
+        "op5_skip_chain_crf": op5_skip_chain_crf,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_secret_ownership": op7_secret_ownership,
         "op8_prefix_join": op8_prefix_join,
+        "op9_warc_salvage": op9_warc_salvage,
         "op10_divergence_rules": op10_divergence_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_line_spread": sql.LINE_SPREAD,
         "op8_prefix_join": sql.CONTAMINATION,
+        "op9_warc_salvage": sql.WARC,
         "op10_divergence_rules": sql.DIVERGENCE_RULES,
     }
