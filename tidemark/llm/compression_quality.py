@@ -65,46 +65,54 @@ def _features(text: str | None, good: bytes, bad: bytes) -> tuple[float, ...]:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, *, per_class: int = 3000, dictionary_bytes: int = 1 << 16
+    docs: DataFrame, labels: DataFrame, *, per_class: int = 2000, dictionary_bytes: int = 1 << 16
 ) -> QualityModel:
     """Trains on `docs(doc_id, text)` and `labels(doc_id, label)`, 1 for good and 0 for bad.
 
-    At most `per_class` documents of each class are used, those of least hash: half for the dictionaries,
-    of which at most 32 blocks each, half (whole) for calibration. Everything else scores by the result.
+    At most `per_class` documents of each class are used, those of least hash; at most 32 blocks of each go
+    into a dictionary. For calibration, dictionaries of either half of them measure the other half's whole
+    texts; the dictionaries of the model come from both halves.
     """
     picked = labelled_sample(labels.select("doc_id", "label"), per_class)
-    picked = picked.withColumn("half", F.xxhash64(F.lit("half"), "doc_id") % 2 == 0)
+    picked = picked.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("length(text) > 0")
     texts = texts.join(F.broadcast(picked), "doc_id").drop("doc_id")  # at most 2 * per_class rows
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, label in zip(batch["text"], batch["label"]):
+            for text, label, half in zip(batch["text"], batch["label"], batch["half"]):
                 data = text.encode()
                 starts = range(0, len(data), BLOCK)
                 for at in starts[:: -(-len(starts) // _SHARE)]:
-                    out.append((data[at : at + BLOCK], label))
-            yield pd.DataFrame(out, columns=["block", "label"])
+                    out.append((data[at : at + BLOCK], label, half))
+            yield pd.DataFrame(out, columns=["block", "label", "half"])
 
-    blocks = texts.where("half").select("text", "label").mapInPandas(cut, "block binary, label int")
-    by_class: dict[int, list[bytes]] = {0: [], 1: []}
+    blocks = texts.mapInPandas(cut, "block binary, label int, half int")
+    by: dict[tuple[int, int], list[bytes]] = {(label, half): [] for label in (0, 1) for half in (0, 1)}
     for row in blocks.collect():
-        by_class[row["label"]].append(bytes(row["block"]))
+        by[row["label"], row["half"]].append(bytes(row["block"]))
     counts = dict(picked.groupBy("label").count().collect())
     prior = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
-    if not by_class[0] or not by_class[1]:
+
+    def pair(*halves: int) -> list[bytes]:
+        found = [sorted({b for half in halves for b in by[label, half]}) for label in (1, 0)]
+        return [_dictionary(each, dictionary_bytes) if each else b"" for each in found]
+
+    good, bad = pair(0, 1)
+    if not good or not bad:
         return QualityModel(b"", b"", (), prior)
-    good, bad = (_dictionary(sorted(set(by_class[label])), dictionary_bytes) for label in (1, 0))
+    across = [pair(1), pair(0)]  # what measures half 0, and half 1
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(*_features(text, good, bad), label) for text, label in zip(batch["text"], batch["label"])]
+            columns = (batch[c] for c in ("text", "label", "half"))
+            rows = [(*_features(text, *across[half]), label) for text, label, half in zip(*columns) if all(across[half])]
             yield pd.DataFrame(rows, columns=["a", "b", "c", "d", "label"])
 
     schema = "a double, b double, c double, d double, label int"
-    held = np.array(texts.where("not half").select("text", "label").mapInPandas(measure, schema).collect(), float)
-    if not len(held) or len(set(held[:, -1])) < 2:
+    held = np.array(texts.mapInPandas(measure, schema).collect(), float).reshape(-1, 5)
+    if len(set(held[:, -1])) < 2:
         return QualityModel(good, bad, (20.0, 0.0, 0.0, 0.0, 0.0), prior)
     held = held[np.lexsort(held.T)]
     return QualityModel(good, bad, tuple(fit_logistic(held[:, :-1], held[:, -1])), prior)
