@@ -88,11 +88,11 @@ def _counter(bitmap: np.ndarray, sizes: list[int]) -> Callable:
 def _finder(bitmap: np.ndarray, sizes: list[int], reach: int) -> Callable:
     """Per document the places of shingles that the bitmap holds, each with the words around it."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def find(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = WordHashes()
-        for batch in batches:
+        for batch in texts:
             counts, places = [], []
-            for text in batch["text"]:
+            for text in batch:
                 found = words(text)
                 hashes = table.of(found)
                 own = []
@@ -104,9 +104,7 @@ def _finder(bitmap: np.ndarray, sizes: list[int], reach: int) -> Callable:
                         own.append({"place": place, "hash": each[place].astype(np.int64), "first": first, "near": near})
                 counts.append(len(found))
                 places.append(own)
-            out = pd.DataFrame({"n_words": counts, "places": places})
-            out.insert(0, "doc_id", batch["doc_id"])
-            yield out
+            yield pd.DataFrame({"n_words": counts, "places": places})
 
     return find
 
@@ -122,7 +120,7 @@ def _union_length(runs: Column) -> Column:
     return F.aggregate(runs, start, add, lambda acc: acc["covered"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, shingle: int = 3) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame:
     """How much of each document is benchmark text.
 
     `docs` has `doc_id, text`, `items` has `item_id, text`; other columns are ignored. A word is hit if it
@@ -131,7 +129,17 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, shingl
     occurring window). Rows are told apart even if ids repeat or are null. Null and empty texts have no
     words; items without words or id match nothing; either table may be empty.
     """
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return _hits(docs, items, ["doc_id"], **options).select("doc.doc_id", "n_words", "n_hit", "item_ids")
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, *, one_in: int = 20, **options: int) -> DataFrame:
+    """The rows of `docs`, with all their columns, of which less than one word in `one_in` is hit."""
+    return _hits(docs, items, docs.columns, **options).where(~is_contaminated(one_in)).select("doc.*")
+
+
+def _hits(docs: DataFrame, items: DataFrame, carried: list[str], *, window: int = 13, shingle: int = 3) -> DataFrame:
+    """`doc` (the columns carried along), `n_words`, `n_hit`, `item_ids`."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     own = items.where(F.col("item_id").isNotNull())
     own = own.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     windows = saved(item_windows(own, window, shingle), "item_windows")
@@ -141,7 +149,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, shingl
     each = windows.dropDuplicates(["window"])
     parts = each.select("window", "n", F.posexplode("hashes").alias("offset", "hash"))
     held = _bitmap(parts)
-    counts = texts.select("text").mapInPandas(_counter(held, sizes), "hash long, n long")
+    counts = texts.mapInPandas(_counter(held, sizes), "hash long, n long")
     counts = counts.groupBy("hash").agg(F.sum("n").alias("corpus"))
     prefixes = parts.join(counts, "hash", "left").groupBy("window", "n").agg(
         F.min(F.struct(F.coalesce("corpus", F.lit(0)).alias("corpus"), "hash", "offset")).alias("rarest")
@@ -149,9 +157,9 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, shingl
     prefixes = prefixes.where("rarest.corpus > 0").select("window", "n", "rarest.hash", "rarest.offset")
     prefixes = saved(prefixes, "prefixes")
 
-    schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n_words long, places array<struct<{_PLACES}>>"
-    found = texts.mapInPandas(_finder(_bitmap(prefixes), sizes, window), schema)
-    found = saved(found.withColumn("row", F.monotonically_increasing_id()), "places")
+    finder = F.pandas_udf(_finder(_bitmap(prefixes), sizes, window), f"n_words long, places array<struct<{_PLACES}>>")
+    found = docs.select(F.struct(*(F.col(f"`{name}`") for name in carried)).alias("doc"), finder(F.col("text").cast("string")).alias("found"))
+    found = saved(found.select("doc", "found.*", F.monotonically_increasing_id().alias("row")), "places")
 
     places = found.where(F.size("places") > 0).select("row", "n_words", F.inline("places"))
     start = F.col("place") - F.col("offset")
@@ -165,11 +173,11 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, shingl
     named = hits.select("row", "window").distinct().join(windows.select("window", "item_id"), "window")
     named = named.groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     return (
-        found.select("row", "doc_id", "n_words")
+        found.select("row", "doc", "n_words")
         .join(covered, "row", "left")
         .join(named, "row", "left")
         .select(
-            "doc_id",
+            "doc",
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),

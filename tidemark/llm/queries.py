@@ -131,6 +131,12 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run  # its stages use the helpers above
+
+    return run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pu_toxicity": op1_pu_toxicity,
@@ -143,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_prefix_join": op8_prefix_join,
         "op9_warc_salvage": op9_warc_salvage,
         "op10_divergence_rules": op10_divergence_rules,
+        "pipeline": pipeline,
     }
 
 
