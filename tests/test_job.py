@@ -2,11 +2,13 @@ from datetime import date, datetime, timedelta
 from uuid import uuid4
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans import ProgressNotRecorded, append_progress, create_progress, last_done, read_progress, run_job
 from tidemark.plans.progress import mark_done
 from tidemark.sinks import write_output
 from tidemark.sources import read_source
+from tidemark.storage import delete
 
 TX = (
     "tra_sndr_msisdn string, tra_receiver_msisdn string, tra_date timestamp, "
@@ -104,7 +106,82 @@ def test_daily_catches_up_missed_days(case):
 def test_first_daily_run_takes_yesterday_only(case):
     run = case.run("daily", 5)
     assert run.first == run.last == date(2024, 3, 4)
-    assert case.published() == [("04", "b", "B4")]
+    assert case.published() == [("04", "a", "A2"), ("04", "b", "B4")]
+
+
+def test_run_without_state_reads_the_history(case):
+    """Wherever a run starts, a day's picture goes back to the first transaction."""
+    case.run("initial", 9, start="2024-03-01", end="2024-03-04")
+    delete(case.spark, f"{case.folder}/state")
+    case.run("specific_date", 9, day="2024-03-02")
+    assert case.published() == DAYS_1_TO_4
+
+
+def test_history_after_a_range_and_from_the_middle(case):
+    case.run("initial", 9, start="2024-03-01", end="2024-03-01", carry=False)
+    case.run("daily", 3)
+    case.run("initial", 9, start="2024-03-03", end="2024-03-04")
+    assert case.published() == DAYS_1_TO_4
+
+
+def test_history_from_a_stated_day(case):
+    case.run("initial", 9, start="2024-03-03", end="2024-03-03", history_from=date(2024, 3, 2))
+    assert case.published() == [("03", "a", "A2"), ("03", "b", "B3")]
+    case.run("initial", 9, start="2024-03-04", end="2024-03-04", history_from=date(2024, 3, 4))
+    assert [r for r in case.published() if r[0] == "04"] == [("04", "a", "A2"), ("04", "b", "B4")]  # from the state
+
+
+def test_state_is_kept_for_the_last_day_and_month_ends(case):
+    run_job(case.spark, case.spec, "initial", date(2024, 6, 1), start="2024-03-01", end="2024-05-10")
+    days = {r.day.isoformat(): r.n for r in case.spark.read.parquet(f"{case.folder}/state").groupBy("day").agg(F.count("*").alias("n")).collect()}
+    assert days == {"2024-03-31": 3, "2024-04-30": 3, "2024-05-10": 3}  # a, b and c act; x never does
+    assert len(case.published()) == 2 * 71
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_rerun_removes_days_that_became_empty(case, carry):
+    case.run("initial", 9, start="2024-03-01", end="2024-03-03", carry=carry)
+    assert case.published() != []
+    case.users([("a", "OUT", "-"), ("b", "OUT", "-")])
+    run = case.run("initial", 9, start="2024-03-01", end="2024-03-03", carry=carry)
+    assert run.rows["published"] == 0 and case.published() == []
+
+
+def test_rerun_on_a_corrected_source(case):
+    case.run("daily", 2)
+    case.run("daily", 3)
+    moves = [m for m in MOVES if m[2].day != 1]
+    case.spark.createDataFrame(moves, TX).write.mode("overwrite").parquet(f"{case.folder}/tx")
+    case.run("initial", 3, start="2024-03-01", end="2024-03-02")
+    assert case.published() == [("02", "a", "A2")]
+    case.run("daily", 5)
+    assert case.published() == [("02", "a", "A2"), ("03", "a", "A2"), ("03", "b", "B3"), ("04", "a", "A2"), ("04", "b", "B4")]
+
+
+@pytest.mark.parametrize("name", ["users", "transactions"])
+def test_undefined_source_is_an_error(case, name):
+    case.spec["data_sources"][name + "s"] = case.spec["data_sources"].pop(name)
+    with pytest.raises(ValueError, match="not defined"):
+        case.run("daily", 5)
+    assert not (case.folder / "progress").exists()
+
+
+@pytest.mark.parametrize("mode", ["append", "ignore", "error"])
+def test_output_must_overwrite(case, mode):
+    case.spec["outputs"]["last_transaction_output"]["mode"] = mode
+    with pytest.raises(ValueError, match="overwrite"):
+        case.run("daily", 5)
+    assert not (case.folder / "progress").exists() and not (case.folder / "out").exists()
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_counts_of_nothing_are_zero(case, carry):
+    case.users([("a", "OUT", "-")])
+    rows = case.run("initial", 9, start="2024-03-01", end="2024-03-04", carry=carry).rows
+    assert rows["users"] == rows["published"] == 0 and rows["transactions"] == 4
+    case.users(PEOPLE)
+    rows = run_job(case.spark, case.spec, "initial", date(2024, 2, 9), start="2024-02-01", end="2024-02-02", carry=carry).rows
+    assert rows["users"] == 3 and rows["transactions"] == rows["published"] == 0
 
 
 @pytest.mark.parametrize("mode, args", [("daily", {}), ("catchup", {})])
@@ -193,7 +270,7 @@ def test_state_output_is_needed_to_carry(case):
 
 @pytest.mark.parametrize("carry", [True, False])
 @pytest.mark.parametrize("kind", ["jdbc", "file"])
-def test_empty_result_leaves_a_whole_table_alone(case, carry, kind):
+def test_empty_result_replaces_a_whole_table(case, carry, kind):
     if kind == "jdbc":
         case.spec["connections"] = derby()
         types = "party_id VARCHAR(9), zb_user_category VARCHAR(9), zb_user_status VARCHAR(9), day VARCHAR(10)"
@@ -204,11 +281,12 @@ def test_empty_result_leaves_a_whole_table_alone(case, carry, kind):
     case.spec["outputs"]["last_transaction_output"] = place
     case.spec["data_sources"]["back"] = place
     run = case.run("initial", 9, start="2024-03-04", end="2024-03-04", carry=carry)
-    assert run.rows["published"] == 1
+    assert run.rows["published"] == (2 if carry else 1)
+    rows = {(r.party_id, r.zb_user_category, r.day) for r in read_source(case.spark, case.spec, "back").collect()}
+    assert ("b", "B4", "2024-03-04") in rows and len(rows) == run.rows["published"]
     case.users([("a", "OUT", "-")])
     case.run("initial", 9, start="2024-03-04", end="2024-03-04", carry=carry)
-    (row,) = read_source(case.spark, case.spec, "back").collect()
-    assert (row.party_id, row.zb_user_category, row.day) == ("b", "B4", "2024-03-04")
+    assert read_source(case.spark, case.spec, "back").count() == 0
 
 
 def test_failed_run_does_not_advance(case):

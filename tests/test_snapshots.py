@@ -47,3 +47,9 @@ def test_validity_has_no_gap_or_overlap(spark):
     for party in spans.values():
         assert party[-1][1] is None
         assert all(end + timedelta(days=1) == start for (_, end), (start, _) in zip(party, party[1:]))
+
+
+def test_events_are_cut_before_they_are_sorted(spark):
+    plan = validity(feed(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "partial_max" in below and "Sort" not in below

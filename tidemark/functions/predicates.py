@@ -11,13 +11,14 @@ def same_text(column: Column | str, value: str) -> Column:
     return F.upper(column) == F.upper(F.lit(value))
 
 
-def on_days(column: Column | str, first: date, last: date) -> Column:
-    """Both days included, up to the last microsecond.
+def on_days(column: Column | str, first: date | None, last: date) -> Column:
+    """Both days included, up to the last microsecond. Without a first day, everything up to the last.
 
     Half-open on purpose: the column stays bare, so the comparison reaches a Parquet or JDBC scan.
     """
     column = F.col(column) if isinstance(column, str) else column
-    return (column >= F.lit(first)) & (column < F.lit(last + timedelta(days=1)))
+    until = column < F.lit(last + timedelta(days=1))
+    return until if first is None else (column >= F.lit(first)) & until
 
 
 def has_party(column: Column | str) -> Column:

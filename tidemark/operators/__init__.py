@@ -9,7 +9,7 @@ from tidemark.operators.latest import (
     newest_per_category,
     only_parties,
 )
-from tidemark.operators.metrics import StageCounts
+from tidemark.operators.metrics import StageCounts, whole_plans
 from tidemark.operators.ranking import rank_events
 from tidemark.operators.snapshots import advance_state, daily_snapshots, expand_days, validity
 
@@ -31,4 +31,5 @@ __all__ = [
     "rank_events",
     "union_events",
     "validity",
+    "whole_plans",
 ]

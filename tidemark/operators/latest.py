@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.names import CATEGORY, PARTY, TIME
 
+
 def latest_first() -> list[Column]:
     """Newest first; equal times go to the least category, so a rerun gives the same answer."""
     return [F.desc_nulls_last(TIME), F.asc_nulls_last(CATEGORY)]
@@ -24,9 +25,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def only_parties(events: DataFrame, parties: DataFrame, key: str = PARTY) -> DataFrame:
-    """Events whose party is listed. Duplicates in the list change nothing (left-semi join)."""
-    return events.join(parties.select(key), key, "left_semi")
+def only_parties(
+    events: DataFrame, parties: DataFrame, key: str = PARTY, *, broadcast: bool | None = None
+) -> DataFrame:
+    """Events whose party is listed. Duplicates in the list change nothing (left-semi join).
+
+    `broadcast=True` sends the list to every executor, for lists known to be small; `False` never does;
+    `None` leaves it to Spark and what it knows of the list's size.
+    """
+    listed = parties.select(key)
+    if broadcast is not None:
+        listed = F.broadcast(listed) if broadcast else listed.hint("merge")
+    return events.join(listed, key, "left_semi")
 
 
 def newest_per_category(events: DataFrame) -> DataFrame:
@@ -38,25 +48,17 @@ def newest_per_category(events: DataFrame) -> DataFrame:
     return events.groupBy(PARTY, CATEGORY).agg(F.max(TIME).alias(TIME))
 
 
-def latest_event(events: DataFrame, parties: DataFrame | None = None) -> DataFrame:
+def latest_event(
+    events: DataFrame, parties: DataFrame | None = None, *, broadcast: bool | None = None
+) -> DataFrame:
     """The latest event of every party, or of the listed parties.
 
-    Where the filter runs depends on the size Spark estimates for the list. Below
-    `spark.sql.autoBroadcastJoinThreshold` it is broadcast and drops events before they are shuffled.
-    Above it, or when the size is unknown (JDBC), joining first would shuffle every event by party and
-    put a hot party in one task; so events are cut to one row per party first, and the join then runs
-    on that same partitioning with unique keys on the event side.
+    With `broadcast=True`, for a list known to be small, events are filtered before they are shuffled.
+    Otherwise they are cut to one row per party first and the filter runs on that same partitioning, with
+    unique keys on the event side: right for a list of any size, also one that Spark cannot estimate
+    (JDBC). `None` lets Spark choose that join, `False` rules a broadcast out.
     """
-    if parties is not None and fits_broadcast(parties.select(PARTY)):
-        events, parties = only_parties(events, F.broadcast(parties)), None
+    if parties is not None and broadcast:
+        events, parties = only_parties(events, parties, broadcast=True), None
     latest = latest_per_key(newest_per_category(events), [PARTY], latest_first()).select(PARTY, TIME, CATEGORY)
-    return latest if parties is None else only_parties(latest, parties)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate is within the session's broadcast threshold."""
-    spark = df.sparkSession
-    jvm_conf = spark._jsparkSession.sessionState().conf()
-    threshold = jvm_conf.autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= threshold
+    return latest if parties is None else only_parties(latest, parties, broadcast=broadcast)

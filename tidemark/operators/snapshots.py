@@ -30,12 +30,13 @@ def validity(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """The days on which an event is its party's last known one: `valid_from`, `valid_to`.
 
     `valid_to` is null while nothing newer is known. `state` is what was known before the first of
-    the events. Two shuffles, both after a cut: to one row per party and day, then to the few rows
-    those leave per party, whose number the calendar bounds.
+    the events. Events are cut before anything is sorted, to the newest of each party, day and category
+    by a hash aggregate; one row per party and day remains of that, whose number the calendar bounds.
     """
     day = F.to_date(TIME)
     dated = events.select(*_EVENT, day.alias("valid_from")).where("valid_from is not null")
-    known = latest_per_key(dated, [PARTY, "valid_from"], latest_first())
+    newest = dated.groupBy(PARTY, "valid_from", CATEGORY).agg(F.max(TIME).alias(TIME))
+    known = latest_per_key(newest, [PARTY, "valid_from"], latest_first()).select(*_EVENT, "valid_from")
     if state is not None:
         known = known.unionByName(state.select(*_EVENT, day.alias("valid_from")))
     next_day = F.lead("valid_from").over(Window.partitionBy(PARTY).orderBy("valid_from"))

@@ -36,13 +36,17 @@ def channel_rules(spec: Mapping[str, Any]) -> dict[str, tuple[str, ...]]:
 
 
 def calculate_last_transaction(
-    active_users: DataFrame, transactions: DataFrame, spec: Mapping[str, Any] | None = None
+    active_users: DataFrame,
+    transactions: DataFrame,
+    spec: Mapping[str, Any] | None = None,
+    *,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Per active party: time and category of its latest transaction in `transactions`.
 
-    No users or no transactions give no rows and the same schema.
+    No users or no transactions give no rows and the same schema. `broadcast` as in `latest_event`.
     """
-    latest = latest_event(party_events(transactions, channel_rules(spec or {})), active_users)
+    latest = latest_event(party_events(transactions, channel_rules(spec or {})), active_users, broadcast=broadcast)
     return latest.select(PARTY, F.col(TIME).alias(OUT_TIME), F.col(CATEGORY).alias(OUT_CATEGORY))
 
 

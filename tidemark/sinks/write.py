@@ -67,6 +67,8 @@ def write_output(
     mode = own.pop("mode", None) or entry.get("mode") or ("append" if kind in LANDING_TYPES else "overwrite")
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} of output {name!r} is not one of {', '.join(MODES)}")
+    if "output_filename_pattern" in {**entry, **own}:
+        raise ValueError(f"output {name!r}: files keep Spark's names; output_filename_pattern is not supported")
     if df is None or (skip_empty and df.isEmpty()):
         return False
 

@@ -10,9 +10,7 @@ from typing import Any
 log = logging.getLogger(__name__)
 
 # Where and as whom to connect is the connection's business; a job may tune behaviour only.
-PROTECTED = frozenset(
-    "url uri connection.uri host port base database user pwd password driver dbtable query db_type".split()
-)
+PROTECTED = {"url", "connection.uri", "user", "password", "driver", "dbtable", "query", "database"}
 
 
 def merge_options(*layers: Mapping[str, Any] | None) -> dict[str, Any]:

@@ -17,8 +17,10 @@ def read_table(spark: SparkSession, options: Mapping[str, Any], table: str) -> D
     splits, rows outside them and rows with a null are still read.
     """
     options = dict(options)
-    column = options.get("partitionColumn")
-    if column and not {"lowerBound", "upperBound"} <= options.keys():
+    given = {key.lower(): value for key, value in options.items()}  # Spark does not mind the case either
+    column = given.get("partitioncolumn")
+    if column and not {"lowerbound", "upperbound"} <= given.keys():
+        options = {k: v for k, v in options.items() if k.lower() not in ("lowerbound", "upperbound")}
         options.update(_bounds(spark, options, table, column))
     return spark.read.format("jdbc").options(**options, dbtable=table).load()
 
@@ -33,7 +35,7 @@ def read_query(spark: SparkSession, options: Mapping[str, Any], query: str, alia
 def _bounds(spark: SparkSession, options: Mapping[str, Any], table: str, column: str) -> dict[str, str]:
     """Smallest and greatest value of the column, computed by the database."""
     name = quote_name(column, options["url"])
-    single = {k: v for k, v in options.items() if k not in ("partitionColumn", "numPartitions")}
+    single = {k: v for k, v in options.items() if k.lower() not in ("partitioncolumn", "numpartitions")}
     ends = read_query(spark, single, f"SELECT min({name}) AS lo, max({name}) AS hi FROM {table}", "ends")
     kind = ends.dtypes[0][1]
     dated = kind == "date" or kind.startswith("timestamp")

@@ -16,6 +16,9 @@ from tidemark.sources.jdbc import quote_name, quote_text
 from tidemark.sources.read import JDBC_TYPES, read_source, source_type
 
 
+_SPLIT = {"partitioncolumn", "lowerbound", "upperbound", "numpartitions"}
+
+
 def active_parties(spark: SparkSession, spec: Mapping[str, Any], source: str = "users") -> DataFrame:
     """Ids of the parties with the active status, in any case.
 
@@ -38,12 +41,15 @@ def active_parties(spark: SparkSession, spec: Mapping[str, Any], source: str = "
 
 
 def transactions(
-    spark: SparkSession, spec: Mapping[str, Any], first: date, last: date, source: str = "transactions"
+    spark: SparkSession, spec: Mapping[str, Any], first: date | None, last: date, source: str = "transactions"
 ) -> DataFrame:
-    """The transactions of `first` to `last`, both days whole, in the six logical columns.
+    """The transactions of `first` to `last`, both days whole, in the six logical columns; without a first
+    day, all up to `last`.
 
-    On files Spark pushes columns and bounds into the scan. On JDBC they are SQL text, so days are
-    those of the database's clock, whatever the time zones of session and JVM.
+    On files Spark pushes columns and bounds into the scan. A source laid out by day names that column
+    as `partition_column`: the same days then choose the folders, so the others are not even listed. On
+    JDBC the bounds are SQL text, so days are those of the database's clock, whatever the time zones of
+    session and JVM.
     """
     entry = spec.get("data_sources", {}).get(source)
     if entry is None:
@@ -52,32 +58,58 @@ def transactions(
     if source_type(entry) in JDBC_TYPES:
         time = quote_name(columns["transaction_date"], connection(spec, entry)["url"])
         after = last + timedelta(days=1)
-        where = f"{time} >= {{ts '{first} 00:00:00'}} AND {time} < {{ts '{after} 00:00:00'}}"
-        rows = _select_in_database(spark, spec, source, columns, where)
+        where = f"{time} < {{ts '{after} 00:00:00'}}"
+        if first is not None:
+            where = f"{time} >= {{ts '{first} 00:00:00'}} AND {where}"
+        rows = _select_in_database(spark, spec, source, columns, where, (columns["transaction_date"], first, after))
     else:
-        rows = select_mapped(read_source(spark, spec, source), columns).where(on_days("transaction_date", first, last))
+        rows = read_source(spark, spec, source)
+        if folder := entry.get("partition_column"):
+            require_columns(rows, [folder])
+            inside = F.col(f"`{folder}`") <= F.lit(last.isoformat()).cast(rows.schema[folder].dataType)
+            if first is not None:
+                inside &= F.col(f"`{folder}`") >= F.lit(first.isoformat()).cast(rows.schema[folder].dataType)
+            rows = rows.where(inside)
+        rows = select_mapped(rows, columns).where(on_days("transaction_date", first, last))
     return rows.withColumns({name: _id(name) for name in ("sender_msisdn", "receiver_msisdn")})
 
 
 def _select_in_database(
-    spark: SparkSession, spec: Mapping[str, Any], source: str, columns: Mapping[str, str], where: str
+    spark: SparkSession,
+    spec: Mapping[str, Any],
+    source: str,
+    columns: Mapping[str, str],
+    where: str,
+    time: tuple[str, date | None, date] | None = None,
 ) -> DataFrame:
     """The physical columns under their logical names, filtered by the database.
 
-    A scan split on a column is split on the filtered rows, so a run over one day of a long table
-    still spreads over all its splits.
+    The scan is split over `numPartitions` connections, 8 if not stated, on the source's
+    `partitionColumn`, else on the column of `time` (name, first day or None, day after the last) if it
+    holds dates or times. It is split within the filtered rows, whatever bounds are given for the whole
+    table, so a run over one day of a long table still spreads over all its splits.
     """
     entry = spec["data_sources"][source]
     if not entry.get("table"):
         raise ValueError(f"source {source!r} has no table")
     url = connection(spec, entry)["url"]
     selected = [f"{quote_name(physical, url)} AS {quote_name(logical, url)}" for logical, physical in columns.items()]
+    given = {key.lower(): (key, value) for key, value in (entry.get("options_override") or {}).items()}
+    override = {k: v for k, v in (entry.get("options_override") or {}).items() if k.lower() not in _SPLIT}
+    filtered = {**spec, "data_sources": {source: {**entry, "options_override": override}}}
     options = {}
-    if split := (entry.get("options_override") or {}).get("partitionColumn"):
+    split = given["partitioncolumn"][1] if "partitioncolumn" in given else None
+    if split is None and time and str(given.get("numpartitions", ("", 8))[1]) != "1":
+        nothing = f"SELECT {quote_name(time[0], url)} AS {quote_name('_split', url)} FROM {entry['table']} WHERE 1 = 0"
+        kind = read_source(spark, filtered, source, query_string=nothing, query_alias="kind").dtypes[0][1]
+        split = time[0] if kind in ("date", "timestamp") else None  # what Spark can split on
+    if split:
         selected.append(f"{quote_name(split, url)} AS {quote_name('_split', url)}")
-        options["partitionColumn"] = "_split"
+        options = {"partitionColumn": "_split", "numPartitions": given.get("numpartitions", ("", 8))[1]}
+        if time and split == time[0] and time[1] is not None:
+            options |= {"lowerBound": time[1].isoformat(), "upperBound": time[2].isoformat()}
     query = f"SELECT {', '.join(selected)} FROM {entry['table']} WHERE {where}"
-    rows = read_source(spark, spec, source, query_string=query, query_alias=f"{source}_query", **options)
+    rows = read_source(spark, filtered, source, query_string=query, query_alias=f"{source}_query", **options)
     return select_mapped(rows, {logical: logical for logical in columns})
 
 

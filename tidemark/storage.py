@@ -11,19 +11,26 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}  # temporary folder of each session in one process
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below `spark.checkpoint.dir`, which every executor can reach.
 
-    Only a session that runs in one process may do without the setting and gets a temporary folder.
+    All paths of a session are in one folder, deleted when the session's application ends. Only a session
+    that runs in one process may do without the setting and gets a temporary folder.
     """
-    shared = spark.conf.get(_SETTING, None)
+    shared = spark.conf.get(_SETTING, None) or _LOCAL.get(spark.sparkContext.applicationId)
     if not shared:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/tidemark/{name}-{uuid4().hex}"
+        shared = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="run-")
+    session = f"{shared.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+    system, folder = _hadoop(spark, session)
+    if not system.exists(folder):
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+    return f"{session}/{name}-{uuid4().hex}"
 
 
 @contextmanager
@@ -38,5 +45,27 @@ def materialised(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any Hadoop file system."""
+    system, place = _hadoop(spark, path)
+    return system.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes what is at a path of any Hadoop file system, if there is something."""
+    system, place = _hadoop(spark, path)
+    system.delete(place, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a Hadoop glob matches."""
+    system, place = _hadoop(spark, pattern)
+    return [status.getPath().toString() for status in system.globStatus(place) or []]
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
