@@ -124,3 +124,26 @@ def test_users_are_filtered_in_the_database_and_split(spark, db):
     active = active_parties(spark, db, "x")
     assert active.columns == ["msisdn"] and active.rdd.getNumPartitions() == 3
     assert sorted(int(r.msisdn) for r in active.collect()) == list(range(0, 100, 4))
+
+
+def test_transactions_are_split_by_their_days_unless_told_otherwise(spark, db):
+    start = datetime(2024, 3, 1)
+    rows = [("a", "b", start + timedelta(hours=i), "A", "B", "C2S", "-") for i in range(24 * 10)]
+    df = spark.createDataFrame(rows, TX)
+    types = ", ".join(f"{c} VARCHAR(20)" for c, t in df.dtypes if t == "string")
+    write_output(df, db, "x", createTableColumnTypes=types)
+    read = lambda first=date(2024, 3, 4): transactions(spark, db, first, date(2024, 3, 7), "x")
+    got = read()
+    assert got.count() == 96 and got.rdd.getNumPartitions() == 8
+    sizes = got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert max(sizes) <= 13
+    assert read(None).count() == 7 * 24
+    for given, parts in (
+        ({"numPartitions": 1}, 1),
+        ({"NUMPARTITIONS": 3}, 3),
+        ({"partitioncolumn": "tra_date", "numPartitions": 4, "lowerBound": "1990-01-01", "upperbound": "2090-01-01"}, 4),
+    ):
+        db["data_sources"]["x"]["options_override"] = given
+        got = read()
+        assert got.count() == 96 and got.rdd.getNumPartitions() == parts
+        assert max(got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()) <= 96 // parts + 1

@@ -37,6 +37,20 @@ def test_hot_party_copies_and_nulls(spark, monkeypatch, time_type):
     check(spark, rows, time_type)
 
 
+@pytest.mark.parametrize("time_type", ["timestamp", "timestamp_ntz"])
+def test_burst_hour_of_one_party(spark, monkeypatch, time_type):
+    """An hour with nearly all events is cut into seconds, and no window holds more than one of those."""
+    monkeypatch.setattr(ranking, "_LARGE", 50)
+    rows = [("hot", START + timedelta(milliseconds=4500 * i), "ABC"[i % 3]) for i in range(800)]
+    rows += [("hot", START + timedelta(hours=h), "Z") for h in range(-5, 6)] + [("hot", None, "N")] * 3
+    rows += [("cold", START + timedelta(minutes=i), "A") for i in range(40)]
+    rows += [("old", datetime(1969, 12, 31, 23, 59, 59, 500000) + timedelta(milliseconds=400 * i), "A") for i in range(90)]
+    check(spark, rows, time_type)
+    df = spark.createDataFrame(rows, f"msisdn string, event_date {time_type}, event_category string")
+    plan = rank_events(df)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" not in plan
+
+
 def test_dates(spark):
     check(spark, [(p, date(2024, 1, 1 + i % 5), "BA"[i % 2]) for i in range(20) for p in "xy"], "date")
 

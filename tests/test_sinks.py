@@ -115,3 +115,11 @@ def test_missing_target(spark):
         write_output(spark.range(1), {"outputs": {"x": {"output_type": "csv_file"}}}, "x")
     with pytest.raises(NotImplementedError):
         write_output(spark.range(1), {"outputs": {"x": {"output_type": "xml_file"}}}, "x")
+
+
+def test_file_names_cannot_be_chosen(spark, tmp_path):
+    place = {"output_type": "sftp_csv", "remote_base_path": str(tmp_path / "drop")}
+    for entry, more in (({**place, "output_filename_pattern": "day"}, {}), (place, {"output_filename_pattern": "day"})):
+        with pytest.raises(ValueError, match="output_filename_pattern"):
+            write_output(spark.range(3), {"outputs": {"x": entry}}, "x", **more)
+    assert not (tmp_path / "drop").exists()

@@ -1,5 +1,6 @@
 import json
 import logging
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -183,3 +184,29 @@ def test_shared_folder(spark):
         assert df.dtypes == [("id", "bigint")] and df.count() == 5
         assert files and all(shared in f for f in files)
     assert not any(Path(f.removeprefix("file://")).exists() for f in files)
+
+
+def test_partition_column_chooses_the_folders(spark, tmp_path):
+    """A feed laid out by day: only the folders of the run's days are scanned."""
+    hours = spark.range(24 * 20).selectExpr(
+        "'a' p", "'C2S' c", "timestamp'2024-03-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) t"
+    )
+    hours.selectExpr("*", "date_format(t, 'yyyy-MM-dd') day").write.partitionBy("day").parquet(f"{tmp_path}/tx")
+    names = {c: "p" for c in ("sndr_msisdn", "rcvr_msisdn", "sndr_category", "rcvr_category")}
+    spec = {
+        "data_sources": {"transactions": {"path": f"{tmp_path}/tx", "partition_column": "day"}},
+        "columns": {"transactions": {**names, "channel": "c", "date": "t"}},
+    }
+    for first, rows in ((date(2024, 3, 4), 48), (None, 120)):
+        df = transactions(spark, spec, first, date(2024, 3, 5))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+        assert "day" in filters and "2024-03-05" in filters and df.count() == rows
+    spec["data_sources"]["transactions"]["partition_column"] = "folder"
+    with pytest.raises(ValueError, match="folder"):
+        transactions(spark, spec, None, date(2024, 3, 5))
+
+
+def test_scratch_paths_are_in_one_folder_of_the_session(spark):
+    one, two = scratch_path(spark, "a"), scratch_path(spark, "b")
+    assert one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0] and spark.sparkContext.applicationId in one

@@ -2,41 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.names import CATEGORY, PARTY, TIME
 from tidemark.operators.latest import latest_first
 
-_BLOCK = 100_000
+_BLOCK = 100_000  # rows that one row of copies is written out to at a time
+_LARGE = 500_000  # different events of a party and hour beyond which the hour is cut into seconds
 
 
 def rank_events(events: DataFrame, rank: str = "rn") -> DataFrame:
     """Adds 1, 2, 3 … per party, newest event first: `row_number` in the order of `latest_first`.
 
     A plain window would sort all events of a party in one task. Here equal events are counted
-    before the shuffle, a party is cut into one-hour slots, and a slot starts where the newer slots
-    end. A task holds one slot of distinct events; the running total over slots has at most one row
-    per party and hour.
+    before the shuffle, a party is cut into slots of an hour, or of a second where an hour is large, and a
+    slot starts where the newer slots end. A task sorts one slot of different events; the running total
+    over slots has at most one row per party and slot.
 
     Expects events as `party_events` returns them: the party is never null.
     """
-    hour = F.unix_date(F.to_date(TIME)) * 24 + F.hour(TIME)
-    distinct = (
-        events.groupBy(PARTY, TIME, CATEGORY)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("slot", F.coalesce(hour, F.lit(-(2**31))))  # no time: after every dated slot
-    )
+    distinct = events.groupBy(PARTY, TIME, CATEGORY).agg(F.count(F.lit(1)).alias("copies"))
+    distinct = distinct.withColumn("at", F.coalesce(_seconds(events), F.lit(-(2**62))))  # no time: after every dated slot
+    distinct = distinct.withColumn("hour", F.expr("at div 3600"))
+
+    # At most one in _LARGE events names a large hour: a list of bounded size.
+    hours = distinct.groupBy(PARTY, "hour").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows"))
+    large = hours.where(F.col("rows") > _LARGE).select(PARTY, "hour", F.lit(True).alias("large"))
+    cut = distinct.join(F.broadcast(large), [PARTY, "hour"], "left")
+    cut = cut.withColumn("slot", F.when(F.col("large"), F.col("at"))).drop("at", "large")
+    seconds = cut.where("slot is not null").groupBy(PARTY, "hour", "slot").agg(F.sum("copies").alias("n"))
+    whole = hours.where(F.col("rows") <= _LARGE).select(PARTY, "hour", F.lit(None).cast("long").alias("slot"), "n")
 
-    newer_slots = Window.partitionBy(PARTY).orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
-    slots = (
-        distinct.groupBy(PARTY, "slot")
-        .agg(F.sum("copies").alias("n"))
-        .select(PARTY, "slot", F.coalesce(F.sum("n").over(newer_slots), F.lit(0)).alias("before_slot"))
+    newer = Window.partitionBy(PARTY).orderBy(F.desc("hour"), F.desc("slot"))
+    newer = newer.rowsBetween(Window.unboundedPreceding, -1)
+    slots = whole.unionByName(seconds).select(
+        PARTY,
+        F.col("hour").alias("_hour"),
+        F.coalesce("slot", F.lit(0)).alias("_slot"),
+        F.coalesce(F.sum("n").over(newer), F.lit(0)).alias("before_slot"),
     )
 
-    newer_here = Window.partitionBy(PARTY, "slot").orderBy(*latest_first()).rowsBetween(Window.unboundedPreceding, -1)
-    placed = distinct.join(slots, [PARTY, "slot"]).select(
+    cut = cut.withColumns({"_hour": F.col("hour"), "_slot": F.coalesce("slot", F.lit(0))})
+    same = [PARTY, "_hour", "_slot"]
+    newer_here = Window.partitionBy(*same).orderBy(*latest_first()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.join(slots, same).select(
         PARTY,
         TIME,
         CATEGORY,
@@ -46,14 +56,20 @@ def rank_events(events: DataFrame, rank: str = "rn") -> DataFrame:
     return _one_row_per_copy(placed, rank)
 
 
-def _one_row_per_copy(placed: DataFrame, rank: str) -> DataFrame:
-    """Repeats a counted row `copies` times with consecutive ranks.
+def _seconds(events: DataFrame) -> Column:
+    """Seconds that never run backwards: of the epoch, or of the clock where times have no zone."""
+    if dict(events.dtypes)[TIME] == "timestamp":
+        return F.unix_seconds(TIME)
+    time = F.col(TIME).cast("timestamp_ntz")
+    hours = F.unix_date(F.to_date(time)).cast("long") * 24 + F.hour(time)
+    return hours * 3600 + F.minute(time) * 60 + F.second(time)
 
-    In blocks, spread over the cluster: an event with billions of copies neither builds one huge
-    array nor stays in one task.
-    """
+
+def _one_row_per_copy(placed: DataFrame, rank: str) -> DataFrame:
+    """Repeats a counted row `copies` times with consecutive ranks, in blocks: an event with billions of
+    copies does not build one huge array."""
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(_BLOCK).cast("long")))
-    blocks = placed.withColumn("skip", first).hint("rebalance")
+    blocks = placed.withColumn("skip", first)
     size = F.least(F.col("copies") - F.col("skip"), F.lit(_BLOCK))
     start = F.col("before") + F.col("skip")
     return blocks.select(PARTY, TIME, CATEGORY, F.explode(F.sequence(start + 1, start + size)).alias(rank))
