@@ -13,6 +13,7 @@ from tests.llm.test_near_duplicates import closure
 from tidemark.llm.byte_bpe import load_ranks
 from tidemark.llm.near_duplicates import Weigher, common_shingles, weighted_jaccard
 from tidemark.llm.queries import queries, table
+from tidemark.llm.shingles import words
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -65,7 +66,7 @@ def test_line_dedup(stages):
 def test_near_dedup(stages):
     before, after = stages[2]
     weigh = Weigher(5, common_shingles(before.select("text"), 5, 0.1))
-    sets = {r[0]: weigh(r[1]) for r in rows(before)}
+    sets = {r[0]: weigh(words(r[1])) for r in rows(before)}
     ids = sorted(sets)
     links = [(a, b) for a in ids for b in ids if a < b and weighted_jaccard(sets[a], sets[b]) >= 0.8]
     label = closure(ids, links)
@@ -86,8 +87,8 @@ def test_decontamination(spark, stages):
 
 def quick(text, items):
     """As `brute`, only for items that share a run of three words with the text."""
-    words = WORD.findall(text.translate({c: c + 32 for c in range(65, 91)}))
-    runs = set(zip(words, words[1:], words[2:]))
+    found = WORD.findall(text.translate({c: c + 32 for c in range(65, 91)}))
+    runs = set(zip(found, found[1:], found[2:]))
     near = []
     for name, item in items:
         own = WORD.findall(item.translate({c: c + 32 for c in range(65, 91)}))
