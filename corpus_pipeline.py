@@ -18,8 +18,6 @@ from tidemark.llm.near_duplicates import deduplicate
 from tidemark.llm.queries import quality_model, table, token_digests
 from tidemark.llm.tables import saved
 
-MIN_LEFT = 0.2  # share of its characters that a document must keep in line dedup
-
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more."""
@@ -30,12 +28,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that eight sites have stay only where they occur first.
 
-    A document that loses lines and keeps less than a fifth of its characters is a copy of others, and goes.
+    A document goes only if it loses lines and nothing but white space is left of it.
     `n_chars` follows the text.
     """
     found = spread_lines(docs)
-    left = F.length("clean") >= MIN_LEFT * F.length("doc.text")
-    found = found.where((F.col("n_removed") == 0) | left)
+    found = found.where((F.col("n_removed") == 0) | F.col("clean").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col("n_removed") > 0, F.length("clean").cast("long")).otherwise(F.col("doc.n_chars"))
     new = {"text": F.col("clean").alias("text"), "n_chars": changed.alias("n_chars")}
     return found.select(*(new.get(name, F.col(f"doc.`{name}`")) for name in docs.columns))

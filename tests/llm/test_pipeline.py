@@ -63,6 +63,16 @@ def test_line_dedup(stages):
     assert rows(after) == expected
 
 
+def test_line_dedup_keeps_own_text(spark):
+    """A short page under much boilerplate stays, and so does the first occurrence of a line."""
+    long = " ".join(["boilerplate"] * 60)
+    rows = [(i, long, "", f"s{i}", 0) for i in range(9)]
+    rows += [(20, f"{long}\nfound nowhere else", "", "s1", 0), (21, f" \n{long}\n", "", "s2", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, docs, SF).collect()}
+    assert got == {0: long, 20: "found nowhere else"}
+
+
 def test_near_dedup(stages):
     before, after = stages[2]
     weigh = Weigher(5, common_shingles(before.select("text"), 5, 0.1))
