@@ -18,6 +18,8 @@ from tidemark.llm.near_duplicates import deduplicate
 from tidemark.llm.queries import quality_model, table, token_digests
 from tidemark.llm.tables import saved
 
+LONG_SITES = 3  # sites that make a line of over 50 words boilerplate
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more."""
@@ -26,12 +28,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that eight sites have stay only where they occur first.
+    """Lines that eight sites have stay only where they occur first; of over 50 words, those of three sites or eight documents.
 
     A document goes only if it loses lines and nothing but white space is left of it.
     `n_chars` follows the text.
     """
-    found = spread_lines(docs)
+    found = spread_lines(docs, long_sites=LONG_SITES)
     found = found.where((F.col("n_removed") == 0) | F.col("clean").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col("n_removed") > 0, F.length("clean").cast("long")).otherwise(F.col("doc.n_chars"))
     new = {"text": F.col("clean").alias("text"), "n_chars": changed.alias("n_chars")}

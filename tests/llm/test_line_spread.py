@@ -62,6 +62,22 @@ def test_threshold_is_exact(spark, min_sites):
     assert sorted(bytes(r.key) for r in boilerplate_lines(lines, min_sites).collect()) == [b"0", b"1"]
 
 
+def test_long_passages(spark):
+    """Of over 50 words: in two sites, in three, in seven, and mostly or only in one hot source."""
+    passage = lambda name, n=51: " ".join(f"{name}{i}" for i in range(n))
+    lines = {passage("two"): 2, passage("three"): 3, passage("seven"): 7, passage("short", 50): 7}
+    rows = [(line, f"s{i}") for line, n in lines.items() for i in range(n)]
+    rows += [(passage("hot"), "hot")] * 30 + [(passage("hot"), f"s{i}") for i in range(2)] + [(passage("one"), "hot")] * 8
+    rows = [(i, f"own {i}\n{line}", site, "", "", "") for i, (line, site) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {}
+    for r in spread_lines(docs, long_sites=3).collect():
+        name = r.doc.text.split("\n")[1].split("0 ")[0]
+        kept[name] = kept.get(name, 0) + (r.n_removed == 0)
+    assert kept == {"two": 2, "three": 1, "seven": 1, "short": 7, "hot": 1, "one": 1}
+    assert not any(r.n_removed for r in spread_lines(docs.where("source <> 'hot'")).collect())
+
+
 def test_empty_and_long(spark):
     assert spread_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     text = "\n".join(f"line {i} of a long text" for i in range(20_000))

@@ -3,8 +3,8 @@
 A line that very many sites have is boilerplate. Each line's sites go into a HyperLogLog sketch; sketches
 are merged by the aggregation before and after the shuffle, so a line that a third of all documents
 have costs one small row per task. A sketch's estimate decides where it is clear of the threshold; the few
-lines near it get their sites counted exactly. Then every occurrence of a boilerplate line but the first
-is removed.
+lines near it get their sites counted exactly. Long lines can have a threshold of their own. Then every
+occurrence of a boilerplate line but the first is removed.
 """
 
 from __future__ import annotations
@@ -56,12 +56,15 @@ def spread_lines(
     site: str = "source",
     min_sites: int = 8,
     min_words: int = 4,
+    long_sites: int | None = None,
+    long_words: int = 51,
 ) -> DataFrame:
     """`doc` (all columns of the input in one), `n_lines`, `n_removed`, `clean`, one row per input row.
 
     Lines are what line feeds separate; they are equal without regard to case and surrounding white space,
     and lines of fewer than `min_words` words never count. A line is boilerplate if at least `min_sites`
-    sites have it. Of its occurrences only the first stays: that of least document id, then of least place
+    sites have it; with `long_sites`, one of at least `long_words` words also if that many sites have it, or
+    `min_sites` documents, be they of one site. Of its occurrences only the first stays: that of least document id, then of least place
     (rows of the same id and text count as one document; null ids come last). `clean` is the text
     without the others, its other lines as they were; null stays null, without lines. Null sites count
     as one site. An empty table gives no rows.
@@ -76,9 +79,16 @@ def spread_lines(
         F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
         F.posexplode(_lines(whole)).alias("place", "line"),
     )
-    placed = placed.select("row", "id", "site", "place", _key(F.col("line"), min_words).alias("key"))
+    long = _key(F.col("line"), long_words).isNotNull().alias("long")
+    placed = placed.select("row", "id", "site", "place", _key(F.col("line"), min_words).alias("key"), long)
     placed = saved(placed.where("key is not null"), "lines")
-    boilerplate = saved(boilerplate_lines(placed.select("key", "site"), min_sites), "boilerplate")
+    boilerplate = boilerplate_lines(placed.select("key", "site"), min_sites)
+    if long_sites is not None:
+        passages = placed.where("long")
+        spread = boilerplate_lines(passages.select("key", "site"), long_sites)
+        often = boilerplate_lines(passages.select("key", F.col("row").alias("site")), min_sites)
+        boilerplate = boilerplate.unionByName(spread).unionByName(often).distinct()
+    boilerplate = saved(boilerplate, "boilerplate")
 
     hits = saved(placed.join(boilerplate, "key").select("key", "row", "id", "place"), "boilerplate_places")
     first = hits.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"))
