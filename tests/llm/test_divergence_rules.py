@@ -65,6 +65,15 @@ def test_verdicts(spark, clean):
     assert quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_rare_language_has_reference(spark, clean):
+    rows = [(i, t, "en", None, None) for i, t in enumerate(clean * 18)]
+    rows += [(2000 + i, " ".join(clean[4 * i : 4 * i + 4]), "yy", None, None) for i in range(4)]
+    rows += [(2010, clean[0].upper(), "yy", None, None), (2011, clean[0].upper(), "zz", None, None)]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[2000 + i].kept for i in range(4)) and not got[2010].kept
+    assert got[2011].char_distance is None and got[2011].kept  # 150 words are no reference
+
+
 def test_plan_is_native(spark, clean):
     docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in enumerate(clean)], SCHEMA)
     plan = quality_rules(docs)._jdf.queryExecution().executedPlan().toString()

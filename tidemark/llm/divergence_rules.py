@@ -26,21 +26,24 @@ def _without(text: Column, *strings: str) -> Column:
     return text
 
 
-def common_words(docs: DataFrame, common: int, share: int) -> DataFrame:
-    """`lang, top` for each language of at least one in `share` documents, so of at most `share` rows.
+def common_words(docs: DataFrame, common: int, least_words: int, share: int | None = None) -> DataFrame:
+    """`lang, top` for each language of at least `least_words` words and, if given, one in `share` documents.
 
     `top` has the `common` most frequent words, runs of letters in lower case, with their counts in all
     documents; ties go to the lesser word.
     """
     known = docs.where(F.col("lang").isNotNull())
-    total = docs.agg(F.count(F.lit(1)).alias("n_all"))
-    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
-    langs = langs.join(F.broadcast(total)).where(F.col("n_docs") * share >= F.col("n_all")).select("lang")
     tokens = known.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
-    counts = tokens.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = saved(tokens.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "language_words")
     first = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("word"))
     top = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= common)
     top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
+    langs = counts.groupBy("lang").agg(F.sum("n").alias("n_found")).where(F.col("n_found") >= least_words).select("lang")
+    if share is not None:
+        total = docs.agg(F.count(F.lit(1)).alias("n_all"))
+        often = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
+        often = often.join(F.broadcast(total)).where(F.col("n_docs") * share >= F.col("n_all"))
+        langs = langs.join(often.select("lang"), "lang")
     return langs.join(top, "lang")
 
 
@@ -78,7 +81,7 @@ def document_counts(docs: DataFrame, top: DataFrame) -> DataFrame:
 
     rest = F.regexp_replace(text, r"[a-zA-Z\p{L}\x20\x09-\x0D]+", "")
     counted = (
-        docs.join(F.broadcast(top), "lang", "left")
+        docs.join(top, "lang", "left")
         .withColumn("words", F.array_remove(F.split(text, SPACES), ""))
         .withColumns({"n_words": F.size("words"), "length": F.length(text), "joined": joined, "rest": rest})
         .withColumns(
@@ -127,7 +130,7 @@ def references(counts: DataFrame, top: DataFrame) -> DataFrame:
     totals = totals.agg(F.sum("n_words").alias("n_total"), F.sum("length").alias("n_chars"), *sums)
     words = F.transform("top", lambda w: w["n"] / F.col("n_total"))
     classes = F.array(*(F.col(f"c{i}") / F.col("n_chars") for i in range(6)))
-    joined = totals.where("n_total > 0").join(F.broadcast(top), "lang")
+    joined = totals.where("n_total > 0").join(top, "lang")
     return joined.select("lang", words.alias("ref_words"), classes.alias("ref_classes"))
 
 
@@ -151,7 +154,7 @@ def distances(counts: DataFrame, refs: DataFrame) -> DataFrame:
         both = F.zip_with(seen, ref, lambda n, q: F.struct((n / F.col(of)).alias("p"), q.alias("q")))
         return F.when((F.col(of) > 0) & F.col(ref).isNotNull(), both)
 
-    joined = counts.join(F.broadcast(refs), "lang", "left")
+    joined = counts.join(refs, "lang", "left")
     joined = joined.withColumns(
         {"_words": pairs("found", "n_words", "ref_words"), "_chars": pairs("classes", "length", "ref_classes")}
     )
@@ -169,7 +172,8 @@ def quality_rules(
     text: str = "text",
     lang: str = "lang",
     common: int = 20,
-    language_share: int = 200,
+    language_share: int | None = None,
+    language_words: int = 1000,
     char_limit: tuple[float, float] = (0.15, 0.8),
     word_limit: tuple[float, float] = (0.13, 1.9),
     min_words: int = 50,
@@ -178,7 +182,8 @@ def quality_rules(
 
     One row per input row: `doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, char_distance, word_distance, kept`. A limit `(a, b)` is `a + b / sqrt(n_words)`.
-    A document of fewer than `min_words` words, of no language or of a language without a reference has
+    A language has a reference from `language_words` words on in all its documents; `language_share` asks
+    besides for one in so many documents. A document of fewer than `min_words` words, of no language or of a language without a reference has
     no verdict of its own: the base rules decide. Null texts count as empty, and empty ones fail; null
     ids and repeated rows stay as they are; other columns are ignored. An empty table gives no rows.
     Windows of words are compared by 64-bit hashes within one document.
@@ -188,10 +193,12 @@ def quality_rules(
         F.col(lang).cast("string").alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    top = saved(common_words(rows, common, language_share), "common_words")
+    top = saved(common_words(rows, common, language_words, language_share), "common_words")
     counts = saved(document_counts(rows, top), "document_counts")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    found = distances(counts.withColumn("base_failed", failed), references(counts, top))
+    # Written, both tables have a known size: Spark broadcasts them only if they are small.
+    refs = saved(references(counts, top), "references")
+    found = distances(counts.withColumn("base_failed", failed), refs)
     limit = lambda ab: F.lit(ab[0]) + F.lit(ab[1]) / F.sqrt(F.col("n_words"))
     far = (F.col("char_distance") > limit(char_limit)) | (F.col("word_distance") > limit(word_limit))
     verdict = F.when(F.col("base_failed"), False).when(F.col("n_words") < min_words, True)
