@@ -74,6 +74,17 @@ def test_ownership(spark):
     assert scan_secrets(docs.where("false")).count() == 0
 
 
+def test_bare_values(spark):
+    """Dotted, behind a name that is no keyword, short, and at the end of a sentence."""
+    values = ["eyJhb1Gc.eyJzdW2I.s5Lq_8Zr", "q8Zr5Tk2Lm9Xw4Vb7Nc1", "tR9kLm2Qz", "Zx8-Yw7_Vu6t+5=="]
+    rows = [f"password = {value}" for value in values]
+    rows += [f"{before}{value}{after}" for value in values for before, after in (("see ", " "), ("SESSION=", ""), ("is ", ". End"))]
+    docs = spark.createDataFrame([(i, t, "a", "a/1") for i, t in enumerate(rows)], "doc_id long, text string, owner string, repository string")
+    got = {r.doc_id: [rows[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 3] for r in scan_secrets(docs).collect()}
+    assert [got[i] for i in range(4)] == [[]] * 4
+    assert [got[i] for i in range(4, 16)] == [[value] for value in values for _ in range(3)]
+
+
 def test_query(spark):
     got = {r.doc_id: r for r in queries()["op7_secret_ownership"](spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()

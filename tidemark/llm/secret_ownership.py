@@ -27,7 +27,9 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_BARE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_LEAST = 6  # characters of an assigned value
+_BARE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+_PIECE = re.compile(r"[^.]+")
 _PLACEHOLDER = re.compile(r"example|sample|dummy|test|changeme|xxxx|your|placeholder|0000|1234567", re.IGNORECASE)
 
 
@@ -37,7 +39,7 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     low = text.lower()  # only to see whether a search pays; places come from the text itself
     if any(word in low for word in _KEYWORDS):
         for match in _ASSIGN.finditer(text):
-            if len(match[2]) >= 6:
+            if len(match[2]) >= _LEAST:
                 found.append((match.start(), match.end(), 0, match[2]))
     if "AKIA" in text:
         found += [(m.start(), m.end(), 1, m[0]) for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
@@ -47,19 +49,31 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def bare_tokens(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Long tokens of letters and digits outside the base spans."""
-    if not any(len(word) >= 16 for word in text.split()):
-        return []
+    """Tokens of letters and digits outside the base spans, each as all the values that it can stand for.
+
+    These are the token, the token without full stops around it, what is between full stops, and of each
+    of them what is behind the first equals sign.
+    """
     out, i = [], 0
     ends = sorted((start, end) for start, end, *_ in taken)
     for match in _BARE.finditer(text):
-        value = match[0]
-        while i < len(ends) and ends[i][1] <= match.start():
-            i += 1
-        if i < len(ends) and ends[i][0] < match.end():
+        token, at = match[0], match.start()
+        if not any(c.isdigit() for c in token):
             continue
-        if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
-            out.append((match.start(), match.end(), 3, value))
+        while i < len(ends) and ends[i][1] <= at:
+            i += 1
+        left = len(token) - len(token.lstrip("."))
+        spans = {(0, len(token)), (left, len(token.rstrip(".")))} | {m.span() for m in _PIECE.finditer(token)}
+        spans |= {(start + token[start:end].index("=") + 1, end) for start, end in spans if "=" in token[start:end]}
+        for start, end in sorted(spans):
+            value = token[start:end]
+            if end - start < _LEAST or not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+                continue
+            near = i
+            while near < len(ends) and ends[near][1] <= at + start:
+                near += 1
+            if near == len(ends) or ends[near][0] >= at + end:
+                out.append((at + start, at + end, 3, value))
     return out
 
 
@@ -101,7 +115,7 @@ def scan_secrets(
 ) -> DataFrame:
     """Secrets in every whole text, with the corpus's verdict on each.
 
-    One row per input row: `doc_id`, `base` (spans of the base patterns) and `spans` (those, and the long
+    One row per input row: `doc_id`, `base` (spans of the base patterns) and `spans` (those, and the
     tokens whose value is a base secret elsewhere, held by fewer than `copied_owners` owners and random).
     A span has `start, end, kind` (a place in KINDS), `owners, repositories` and `verdict`: `copied` from
     `copied_owners` owners on, else `live` if it looks random, else `weak`. Owners and repositories
