@@ -11,13 +11,16 @@ import public_tokenizers
 from tidemark.llm import pii_crf as pii
 from tidemark.llm import sql
 from tidemark.llm.byte_bpe import encode_documents
+from tidemark.llm.byte_index import simhash_components
 from tidemark.llm.compression_quality import QualityModel, fit_quality, quality
 from tidemark.llm.contamination import contamination, is_contaminated
 from tidemark.llm.divergence_rules import quality_rules
 from tidemark.llm.line_spread import spread_lines
 from tidemark.llm.near_duplicates import near_duplicates
+from tidemark.llm.phrase_mining import collocations
 from tidemark.llm.pu_toxicity import fit_toxicity, toxicity
 from tidemark.llm.secret_ownership import KINDS, scan_secrets, spans_text
+from tidemark.llm.spelling_variants import spelling_variants
 from tidemark.llm.training import remainder
 from tidemark.llm.warc import archive_pages
 
@@ -131,6 +134,18 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
+def op11_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_bitset_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run  # its stages use the helpers above
 
@@ -149,6 +164,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_prefix_join": op8_prefix_join,
         "op9_warc_salvage": op9_warc_salvage,
         "op10_divergence_rules": op10_divergence_rules,
+        "op11_byte_index": op11_byte_index,
+        "op12_son_phrases": op12_son_phrases,
+        "op13_bitset_variants": op13_bitset_variants,
         "pipeline": pipeline,
     }
 
@@ -159,4 +177,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_prefix_join": sql.CONTAMINATION,
         "op9_warc_salvage": sql.WARC,
         "op10_divergence_rules": sql.DIVERGENCE_RULES,
+        "op12_son_phrases": sql.PHRASES,
     }

@@ -115,3 +115,38 @@ c AS (
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
        CASE WHEN text IS NOT NULL THEN sha256(coalesce(clean, '')) END AS clean_sha256
 FROM d LEFT JOIN c USING (rid)"""
+
+
+PHRASES = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+                  regexp_split_to_array({_FOLDED}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT rid, lang, unnest(pieces) AS piece FROM d),
+w AS (SELECT row_number() OVER () AS pid, lang, [x for x in regexp_split_to_array(piece, '[\x20\x09]+') if x <> ''] AS words FROM p),
+total AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, size, words, unnest(range(1, len(words) - size + 2)) AS i
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(words) >= size),
+f AS (
+  SELECT lang, size, array_to_string(list_slice(words, i, i + size - 1), ' ') AS phrase, count(*) AS a
+  FROM grams GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, size, a, k, array_to_string(list_slice(words, 1, k), ' ') AS head,
+         array_to_string(list_slice(words, k + 1, size), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r,
+         CAST(CAST(c.a AS HUGEINT) * 2000000 // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+worst AS (
+  SELECT lang, phrase, a, l, r, score
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored) WHERE place = 1),
+inside AS (
+  SELECT lang, array_to_string(list_slice(words, i, i + part - 1), ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, words, a, part, unnest(range(1, size - part + 2)) AS i
+        FROM (SELECT *, unnest(range(2, size)) AS part FROM c)) GROUP BY ALL),
+ranked AS (
+  SELECT worst.*, row_number() OVER (PARTITION BY worst.lang ORDER BY score DESC, a DESC, encode(worst.phrase)) AS rank
+  FROM worst LEFT JOIN inside ON inside.lang = worst.lang AND inside.phrase = worst.phrase
+  WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
