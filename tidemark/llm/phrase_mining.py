@@ -16,10 +16,12 @@ of the phrases themselves.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +34,9 @@ UNDEFINED = "und"
 INSIDE = 80  # a candidate goes if a longer one has this many hundredths of its occurrences
 SCALE = 2_000_000
 _SHARDS = 6  # local support is a sixth of the whole where shards are even
-_BLOCK = 1 << 21  # words counted at a time
-_KEPT = 1 << 20  # words remembered by a task; beyond, begun anew
+_BLOCK = 3 << 20  # words counted at a time
+_CHUNK = 1 << 22  # bytes of text split into words at a time
+_OUT = 1 << 16  # rows handed on at a time
 _LEAST_BITS, _MOST_BITS = 16, 27  # a bitmap has 2 ** 27 bits, 16 MB, at most
 _BITS_EACH = 64  # bits of a bitmap per candidate, as long as the most allows
 
@@ -41,16 +44,14 @@ _BITS_EACH = 64  # bits of a bitmap per candidate, as long as the most allows
 _END = b"\xff"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _END * 10 + b" ")
 
-_NO_BITS = np.zeros(1, np.uint64)
+_UNCHECKED = pc.CastOptions(pa.large_string(), allow_invalid_utf8=True)
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """The words of a text in UTF-8, with `_END` where a piece ends."""
-    if not text:
-        return []
-    found = text.translate(_FOLD).replace(_END, b" \xff ").split()
-    found.append(_END)
-    return found
+def split_words(texts: list[bytes]) -> pa.Array:
+    """The words of texts in UTF-8, with `_END` where a piece ends."""
+    folded = _END.join([*texts, b""]).translate(_FOLD).replace(_END, b" \xff ").strip()
+    whole = pc.cast(pa.array([folded], pa.large_binary()), options=_UNCHECKED)
+    return pc.ascii_split_whitespace(whole).flatten().cast(pa.large_binary())
 
 
 class Bitmap:
@@ -76,22 +77,13 @@ class Bitmap:
         return Bitmap(bits, words.view(np.uint64))
 
 
-class Words(dict):
-    """Word -> hash for one language; 0 for ends of pieces and for words that a bitmap has not."""
-
-    def __init__(self, lang: str, allowed: Bitmap | None = None) -> None:
-        self.seed, self.allowed = xxhash.xxh3_64_intdigest(lang.encode()), allowed
-        self[_END] = 0
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KEPT:
-            self.clear()
-            self[_END] = 0
-        value = xxhash.xxh3_64_intdigest(word, self.seed) or 1
-        if self.allowed is not None and not self.allowed.has(np.array([value], np.uint64))[0]:
-            value = 0
-        self[word] = value
-        return value
+def word_hashes(words: Iterable[bytes], lang: str, allowed: Bitmap | None = None) -> np.ndarray:
+    """64-bit hashes of a language's words; 0 for ends of pieces and for words that a bitmap has not."""
+    seed = xxhash.xxh3_64_intdigest(lang.encode())
+    out = np.array([0 if word == _END else xxhash.xxh3_64_intdigest(word, seed) or 1 for word in words], np.uint64)
+    if allowed is not None:
+        out[~allowed.has(out)] = 0
+    return out
 
 
 def grams(hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -104,41 +96,65 @@ def grams(hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield size, value, whole
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[bytes]]]:
-    """`shard, lang, tokens` of blocks of texts; a block ends only between texts."""
-    held: dict[str, list[bytes]] = {}
+class _Block:
+    """Words of texts of one language."""
+
+    def __init__(self) -> None:
+        self.parts, self.texts, self.bytes = [pa.array([_END], pa.large_binary())], [], 0
+
+    def add(self, text: bytes) -> int:
+        """The number of words that this has split off."""
+        self.texts.append(text)
+        self.bytes += len(text)
+        return self.split() if self.bytes >= _CHUNK else 0
+
+    def split(self) -> int:
+        if not self.texts:
+            return 0
+        self.parts.append(split_words(self.texts))
+        self.texts, self.bytes = [], 0
+        return len(self.parts[-1])
+
+    def done(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words as numbers in order of appearance, so that ends of pieces are 0, and the words themselves."""
+        self.split()
+        words = pa.concat_arrays(self.parts).dictionary_encode()
+        self.parts = []
+        return words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
+    """`shard, lang, numbers of words, words` of blocks of texts; a block ends only between texts."""
+    held: dict[str, _Block] = {}
     count, shard = 0, 0
     for batch in batches:
-        for text, lang, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            shard = part % _SHARDS
-            found = tokens(text)
-            held.setdefault(lang, []).extend(found)
-            count += len(found)
-            if count >= _BLOCK:
-                yield from ((shard, lang, block) for lang, block in held.items() if block)
-                held, count = {}, 0
-    yield from ((shard, lang, block) for lang, block in held.items() if block)
+        texts, langs, parts = (batch.column(i) for i in range(3))
+        for i in range(batch.num_rows):
+            if text := texts[i].as_py():
+                shard, lang = parts[i].as_py() % _SHARDS, langs[i].as_py()
+                if lang not in held:
+                    held[lang] = _Block()
+                count += held[lang].add(text)
+                if count >= _BLOCK:
+                    done, held, count = held, {}, 0
+                    while done:
+                        lang, block = done.popitem()
+                        yield shard, lang, *block.done()
+    while held:
+        lang, block = held.popitem()
+        yield shard, lang, *block.done()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, lang, block in _blocks(batches):
-        seen: dict[bytes, int] = {}
-        at = np.fromiter((seen.setdefault(word, len(seen)) for word in block), np.int64, len(block))
-        n = np.bincount(at)
-        n[seen[_END]] = 0
-        words = list(seen)
-        for start in range(0, len(words), 1 << 16):
-            part = slice(start, start + (1 << 16))
-            hashes = [xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang.encode())) or 1 for word in words[part]]
-            out = pa.table(
-                {
-                    "lang": pa.array([lang] * len(hashes), pa.string()),
-                    "word": pa.array([word if word != _END else b"" for word in words[part]], pa.binary()),
-                    "hash": pa.array(np.array(hashes, np.uint64).view(np.int64)),
-                    "n": pa.array(n[part]),
-                }
-            )
-            yield from out.filter(pa.compute.greater(out["n"], 0)).to_batches()
+    for _, lang, block, words in _blocks(batches):
+        n = np.bincount(block, minlength=len(words))
+        columns = [pa.array([lang] * (len(words) - 1), pa.string()), pa.array(words[1:], pa.binary()), pa.array(n[1:])]
+        yield from pa.table(columns, names=["lang", "word", "n"]).to_batches(max_chunksize=1 << 16)
+
+
+def _hashes_of(rows: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for langs, words in rows:
+        yield pd.Series(np.array([word_hashes([w], lang)[0] for lang, w in zip(langs, words)], np.uint64).view(np.int64))
 
 
 def _mine(lengths: tuple[int, ...], words: Bitmap, pairs: Bitmap | None) -> Callable:
@@ -146,15 +162,15 @@ def _mine(lengths: tuple[int, ...], words: Bitmap, pairs: Bitmap | None) -> Call
     A row without a hash has the number of words of its block."""
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Words] = {}
-        for shard, lang, block in _blocks(batches):
-            table = known.setdefault(lang, Words(lang, words))
-            hashes = np.fromiter(map(table.__getitem__, block), np.uint64, len(block))
+        for shard, lang, block, known in _blocks(batches):
+            hashes = word_hashes(known, lang, words)[block]
             found = [phrase_hash[whole] for phrase_hash, whole in _allowed(hashes, lengths, pairs)]
-            each, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            yield _shard_rows(shard, lang, pa.nulls(1, pa.int64()), pa.array([len(block) - block.count(_END)]))
-            yield _shard_rows(shard, lang, pa.array(each.view(np.int64)), pa.array(n, pa.int64()))
-        return
+            del hashes
+            each, n = np.unique(np.concatenate(found), return_counts=True)
+            yield _shard_rows(shard, lang, pa.nulls(1, pa.int64()), pa.array([np.count_nonzero(block)]))
+            for start in range(0, len(each), _OUT):
+                part = slice(start, start + _OUT)
+                yield _shard_rows(shard, lang, pa.array(each[part].view(np.int64)), pa.array(n[part]))
 
     return mine
 
@@ -196,29 +212,27 @@ def _count_candidates(words: Bitmap, pairs: Bitmap, longer: Bitmap) -> Callable:
     """Counts the phrases of each block that pass the bitmaps, by the words themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Words] = {}
-        for _, lang, block in _blocks(batches):
-            table = known.setdefault(lang, Words(lang, words))
-            hashes = np.fromiter(map(table.__getitem__, block), np.uint64, len(block))
-            seen: dict[bytes, int] = {}
-            ids = np.fromiter((seen.setdefault(word, len(seen)) for word in block), np.int64, len(block))
-            own, places = ids, None  # numbers of the phrases of the length before, and where they stand
+        for _, lang, block, known in _blocks(batches):
+            hashes = word_hashes(known, lang, words)[block]
+            numbers, stands = block, None  # of phrases of the length before, and where they stand
             for size, value, whole in grams(hashes):
+                if stands is not None:  # a phrase needs the one without its last word
+                    whole = whole & (stands[: len(whole)] >= 0)
                 at = np.flatnonzero(whole)
-                if places is not None:  # a phrase needs the one without its last word
-                    at = at[np.isin(at, places, assume_unique=True)]
                 at = at[(pairs if size == 2 else longer).has(value[at])]
                 if not len(at):
                     break
-                before = own[at] if places is None else own[np.searchsorted(places, at)]
+                before = numbers[at] if stands is None else numbers[stands[at]]
                 # Both numbers are below 2 ** 31, so that equal codes mean equal words.
-                code = before * len(seen) + ids[at + size - 1]
-                _, first, own, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-                places = at
-                phrases = [b" ".join(block[i : i + size]) for i in at[first].tolist()]
+                code = before.astype(np.int64) * len(known) + block[at + size - 1]
+                _, first, numbers, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+                stands = np.full(len(block), -1, np.int32)
+                stands[at] = np.arange(len(at))
+                runs = block[at[first][:, None] + np.arange(size)].tolist()
+                phrases = [b" ".join([known[i] for i in run]) for run in runs]
                 columns = [pa.array([lang] * len(n), pa.string()), pa.array(phrases, pa.binary())]
-                columns += [pa.array(np.full(len(n), size, np.int32)), pa.array(n, pa.int64())]
-                yield pa.record_batch(columns, names=["lang", "phrase", "size", "n"])
+                columns += [pa.array(np.full(len(n), size, np.int32)), pa.array(n)]
+                yield from pa.table(columns, names=["lang", "phrase", "size", "n"]).to_batches(max_chunksize=_OUT)
 
     return count
 
@@ -227,11 +241,11 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang")
     """`lang, phrase, size, a` of all words and phrases with the support, and `lang, n` of all languages."""
     language = F.coalesce(F.col(lang).cast("string"), F.lit(UNDEFINED)).alias("lang")
     texts = docs.select(F.col(text).cast("string").cast("binary").alias("text"), language, F.spark_partition_id().alias("part"))
-    counted = texts.mapInArrow(_count_words, "lang string, word binary, hash long, n long")
-    words = saved(counted.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")), "words")
+    counted = texts.mapInArrow(_count_words, "lang string, word binary, n long")
+    words = saved(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     total = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= SUPPORT)
-    word_bits = Bitmap.of(frequent.select("hash"))
+    word_bits = Bitmap.of(saved(frequent.select(F.pandas_udf(_hashes_of, "long")("lang", "word").alias("hash")), "frequent_words"))
     pair_bits = Bitmap.of(_candidates(texts, _mine((2,), word_bits, None), "bigrams"))
     longer = tuple(range(3, LONGEST + 1))
     longer_bits = Bitmap.of(_candidates(texts, _mine(longer, word_bits, pair_bits), "longer"))
