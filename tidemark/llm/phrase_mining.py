@@ -9,9 +9,8 @@ shards than the support, a phrase of one occurrence would be frequent somewhere,
 Shards are mined by length. Words are counted exactly first; only words with the whole support can be in
 a phrase. Bigrams of such words follow, then phrases of three and four words whose bigrams are all
 candidates. Tasks count hashes of phrases in blocks and hand on one row per phrase and block, so a frequent
-phrase is no hot key. Candidates are handed to tasks as a bitmap of their hashes, sized by their number up
-to `_MOST_BITS`; it lets some phrases through that are no candidates, but loses none, and the last count is
-of the phrases themselves.
+phrase is no hot key. Candidates are handed to tasks as a bitmap of their hashes; it lets some phrases
+through that are no candidates, but loses none, and the last count is of the phrases themselves.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bitmap import Bitmap
 from tidemark.llm.shingles import mixed
 from tidemark.llm.tables import saved
 
@@ -34,11 +34,9 @@ UNDEFINED = "und"
 INSIDE = 80  # a candidate goes if a longer one has this many hundredths of its occurrences
 SCALE = 2_000_000
 _SHARDS = 6  # local support is a sixth of the whole where shards are even
-_BLOCK = 3 << 20  # words counted at a time
+_BLOCK = 1 << 20  # words counted at a time
 _CHUNK = 1 << 22  # bytes of text split into words at a time
 _OUT = 1 << 16  # rows handed on at a time
-_LEAST_BITS, _MOST_BITS = 16, 27  # a bitmap has 2 ** 27 bits, 16 MB, at most
-_BITS_EACH = 64  # bits of a bitmap per candidate, as long as the most allows
 
 # Upper case to lower, ends of pieces to a byte that UTF-8 never has, tabs to spaces.
 _END = b"\xff"
@@ -54,29 +52,6 @@ def split_words(texts: list[bytes]) -> pa.Array:
     return pc.ascii_split_whitespace(whole).flatten().cast(pa.large_binary())
 
 
-class Bitmap:
-    """Hashes, each as one bit of 2 ** bits; `in` has no false negatives."""
-
-    def __init__(self, bits: int, words: np.ndarray) -> None:
-        self.shift, self.words = np.uint64(64 - bits), words
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> self.shift
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-    @staticmethod
-    def of(hashes: DataFrame) -> Bitmap:
-        """Of `hashes(hash)`; at most 2 ** (_MOST_BITS - 6) rows of two numbers reach the driver."""
-        count = hashes.count()
-        bits = min(max(int(_BITS_EACH * count).bit_length(), _LEAST_BITS), _MOST_BITS)
-        at = F.shiftrightunsigned("hash", 64 - bits)
-        rows = hashes.select(at.alias("at")).selectExpr("shiftright(at, 6) word", "shiftleft(1L, cast(at & 63 as int)) bit")
-        rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-        words = np.zeros(1 << (bits - 6), np.int64)
-        words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-        return Bitmap(bits, words.view(np.uint64))
-
-
 def word_hashes(words: Iterable[bytes], lang: str, allowed: Bitmap | None = None) -> np.ndarray:
     """64-bit hashes of a language's words; 0 for ends of pieces and for words that a bitmap has not."""
     seed = xxhash.xxh3_64_intdigest(lang.encode())
@@ -120,6 +95,7 @@ class _Block:
         self.split()
         words = pa.concat_arrays(self.parts).dictionary_encode()
         self.parts = []
+        pa.default_memory_pool().release_unused()
         return words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False)
 
 
