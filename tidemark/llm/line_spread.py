@@ -25,11 +25,18 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _plain(line: Column) -> Column:
+    return F.btrim(line, F.lit(_SPACE))
+
+
+def _has_words(line: Column, words: int) -> Column:
+    plain = _plain(line)
+    return (plain != "") & (F.size(F.split(plain, r"[\x20\x09-\x0D]+")) >= words)
+
+
 def _key(line: Column, min_words: int) -> Column:
     """128-bit hash of a line without regard to case and white space around it; null for a line of fewer words."""
-    plain = F.lower(F.btrim(line, F.lit(_SPACE)))
-    long = F.size(F.split(plain, r"[\x20\x09-\x0D]+")) >= min_words
-    return F.when((plain != "") & long, F.unhex(F.md5(plain)))
+    return F.when(_has_words(line, min_words), F.unhex(F.md5(F.lower(_plain(line)))))
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
@@ -79,7 +86,7 @@ def spread_lines(
         F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
         F.posexplode(_lines(whole)).alias("place", "line"),
     )
-    long = _key(F.col("line"), long_words).isNotNull().alias("long")
+    long = (_has_words(F.col("line"), long_words) if long_sites is not None else F.lit(False)).alias("long")
     placed = placed.select("row", "id", "site", "place", _key(F.col("line"), min_words).alias("key"), long)
     placed = saved(placed.where("key is not null"), "lines")
     boilerplate = boilerplate_lines(placed.select("key", "site"), min_sites)
@@ -94,12 +101,12 @@ def spread_lines(
     first = hits.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"))
     rest = hits.join(first, "key").where(F.struct("id", "place") != F.col("first"))
     removed = rest.groupBy("row").agg(F.collect_set("place").alias("removed"))
-    joined = docs.select(F.struct("*").alias("doc"), name.alias("row"), whole.alias("whole"))
-    joined = joined.join(removed, "row", "left")
+    joined = docs.select(F.struct("*").alias("doc"), name.alias("row")).join(removed, "row", "left")
+    joined = joined.withColumn("whole", F.col(f"doc.`{text}`").cast("string"))
     joined = joined.withColumn("lines", _lines(F.col("whole")))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
     kept = F.array_join(F.transform(left, lambda place: F.get("lines", place)), "\n")
-    counted = F.size(F.filter("lines", lambda line: _key(line, min_words).isNotNull()))
+    counted = F.size(F.filter("lines", lambda line: _has_words(line, min_words)))
     return joined.select(
         "doc",
         F.when(F.col("whole").isNull(), 0).otherwise(counted).cast("long").alias("n_lines"),
