@@ -1,10 +1,13 @@
+import base64
+import gzip
 import io
 import random
 import zlib
-from hashlib import sha256
+from hashlib import sha1, sha256
 
 import pytest
 
+from tidemark.llm.queries import archived
 from tidemark.llm.warc import Gap, Record, archive_pages, read_archives, record_bytes, salvage, with_revisits, write_archives
 
 SCHEMA = "page_id long, url string, html string, type string, first string"
@@ -100,12 +103,85 @@ def test_tables(spark, pages, compress):
     long = "<p>é</p>" * 100
     assert gaps.count() == 0 and len(got) == 9
     assert got["3"] == ("response", None, 900, sha(long))
-    assert got["5"] == got["9"] == got["None"] == ("revisit", "3", 900, sha(long))
+    assert got["5"] == got["9"] == got[None] == ("revisit", "3", 900, sha(long))
     assert got["1"][:2] == got["2"][:2] == got["4"][:2] == got["6"][:2] == ("response", None)
     assert got["4"] == ("response", None, 0, sha("")) and got["7"][2] == 2_000_000
     assert archive_pages(pages.where("false"))[0].count() == 0
 
 
+def test_query_with_odd_ids(spark, pages):
+    """Null ids stay null, and text ids are text."""
+    sha = sha256(("<p>é</p>" * 100).encode()).hexdigest()
+    for kind in ("long", "string"):
+        rows = archived(pages.withColumn("page_id", pages.page_id.cast(kind))).collect()
+        got = {None if r.page_id is None else str(r.page_id): tuple(r)[1:] for r in rows}
+        three = 3 if kind == "long" else "3"
+        assert len(rows) == 9 and got["3"] == (900, sha, "response", None)
+        assert got[None] == got["5"] == got["9"] == (900, sha, "revisit", three)
+
+
+def test_false_heads_are_linear():
+    """Heads that claim more than there is, nested in junk: each costs its headers, not the rest of the archive."""
+    good = page(1, False)[0]
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 99999999\r\n\r\n"
+
+    class Counted(io.BytesIO):
+        total = most = 0
+
+        def read(self, size=-1):
+            data = super().read(size)
+            self.total, self.most = self.total + len(data), max(self.most, len(data))
+            return data
+
+    for count in (5_000, 10_000):
+        source = Counted(head * count + bytes(300_000) + good)
+        found = list(salvage(source))
+        assert [type(f) for f in found] == [Gap, Record] and found[1].id == "1"
+        assert source.most <= 1 << 20 and source.total < 30 * len(source.getvalue())
+    # Claims that end within the archive, but not where a record ends.
+    head = head.replace(b"99999999", b"50000")
+    found = list(salvage(Counted(head * 2_000 + good)))
+    assert [type(f) for f in found] == [Gap, Record]
+
+
+def foreign(kind, block, *more, digest=True):
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{kind}>"), ("WARC-Date", "2020-01-01T00:00:00Z"), *more]
+    if digest:
+        head.append(("WARC-Block-Digest", "sha1:" + base64.b32encode(sha1(block).digest()).decode()))
+    lines = "".join(f"{n}: {v}\r\n" for n, v in [*head, ("Content-Length", len(block))])
+    return b"WARC/1.0\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("pack", [lambda x: x, lambda x: gzip.compress(x)], ids=["plain", "gz"])
+def test_other_writers(pack):
+    body = b"<html>\r\n\r\n</html>" * 5000
+    http = ("Content-Type", "application/http; msgtype=response")
+    sha = ("WARC-Payload-Digest", "sha1:" + base64.b32encode(sha1(body).digest()).decode())
+    message = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n" + body
+    records = [
+        foreign("warcinfo", b"software: x\r\n", ("Content-Type", "application/warc-fields")),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", ("Content-Type", "application/http; msgtype=request")),
+        foreign("response", message, http, sha, ("WARC-Target-URI", "http://h/")),
+        foreign("response", message[:-1] + b"!", http, sha, digest=False),
+        foreign("metadata", b"", ("X-Long", "one\r\n two")),
+        foreign("revisit", message[:30], http, sha, ("WARC-Refers-To", "<urn:uuid:response>")),
+        foreign("resource", bytes(range(256)), digest=False),
+    ]
+    hurt = bytearray(pack(foreign("conversion", b"text" * 100)))
+    hurt[len(hurt) // 2] ^= 4
+    data = b"".join(map(pack, records)) + bytes(hurt) + pack(records[0])
+    found = list(salvage(io.BytesIO(data), payload=True))
+    gaps = [f for f in found if isinstance(f, Gap)]
+    assert [f.type for f in found if isinstance(f, Record)] == [
+        "warcinfo", "request", "response", "metadata", "revisit", "resource", "warcinfo",
+    ]
+    assert [g.end - g.start for g in gaps] == [len(pack(records[3])), len(hurt)]
+    assert found[2].payload == body and found[2].payload_digest == sha256(body).hexdigest()
+    assert (found[2].target, found[2].record_id, found[2].id) == ("http://h/", "<urn:uuid:response>", None)
+    assert [f.payload for f in found if isinstance(f, Record)][5] == bytes(range(256))
+    assert [f.refers_to for f in found if isinstance(f, Record)][4] == "<urn:uuid:response>"
+
+
 def test_damaged_files(spark, pages, tmp_path):
     folder = f"file://{tmp_path}"
     sized = with_revisits(pages.selectExpr("page_id", "url", "cast(coalesce(html, '') as binary) as payload"))

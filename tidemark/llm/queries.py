@@ -120,13 +120,19 @@ def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records, _ = archive_pages(table(spark, sf_dir, "pages"))
+    return archived(table(spark, sf_dir, "pages"))
+
+
+def archived(pages: DataFrame) -> DataFrame:
+    """What the archives of the pages say, with ids of the pages' own type."""
+    records, _ = archive_pages(pages)
+    kind = pages.schema["page_id"].dataType
     return records.select(
-        F.col("id").cast("long").alias("page_id"),
+        F.col("id").cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",
         F.col("type").alias("record_type"),
-        F.col("refers_to").cast("long").alias("refers_to"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
     )
 
 

@@ -4,14 +4,18 @@ An archive is a file of records, each its own gzip member or, uncompressed, one
 checks each record in full: the member's checksum, the version line, the headers, the length, the end and
 the digest of the payload. Where a check fails it looks for the next place at which a record can begin, a
 member's magic number or a version line, and tries again there; the bytes passed over are logged as a gap.
+
+Records of any writer are read. This writer's own carry a page's id and the payload's length in headers
+of their own, which are checked where they are present, as digests are.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from base64 import b32encode
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import sha1, sha256
 from typing import BinaryIO, NamedTuple
 from uuid import NAMESPACE_URL, uuid5
 
@@ -29,9 +33,11 @@ _START = re.compile(rb"WARC/1\.[01]\r\n")
 _CHUNK = 1 << 16
 _HEAD = 1 << 16  # headers longer than this are no headers
 _DATE = "2024-01-01T00:00:00Z"
+_READ = 1 << 20  # bytes asked of the file system at a time
+_NAME = re.compile(rb"[!-9;-~]+")
 RECORDS = (
-    "archive string, offset long, length long, type string, id string, refers_to string, "
-    "payload_bytes long, payload_digest string, target string"
+    "archive string, offset long, length long, type string, id string, refers_to string, payload_bytes long, "
+    "payload_digest string, target string, record_id string, payload binary"
 )
 GAPS = "archive string, start long, end long, reason string"
 
@@ -40,11 +46,13 @@ class Record(NamedTuple):
     offset: int
     length: int
     type: str
-    id: str
-    refers_to: str | None
+    id: str | None  # of the page, in this writer's records
+    refers_to: str | None  # a page's id in this writer's records, else a record's
     payload_bytes: int
-    payload_digest: str
+    payload_digest: str  # SHA-256 of the payload; of a revisit what its header says
     target: str | None
+    record_id: str | None
+    payload: bytes | None = None  # if asked for
 
 
 class Gap(NamedTuple):
@@ -74,7 +82,7 @@ def record_bytes(
         ("WARC-Date", _DATE),
         ("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c[0]):02X}", target or "")),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
-        ("Page-ID", str(page)),
+        ("Page-ID", str(page)) if page is not None else ("Page-None", "1"),
         ("Payload-Length", str(len(payload))),
         ("Content-Type", "application/http;msgtype=response"),
         ("Content-Length", str(len(block))),
@@ -95,39 +103,31 @@ def record_bytes(
 
 
 class _Window:
-    """A file read forward, with the bytes from some offset on in memory."""
+    """A file that can be read anywhere, with a bounded piece of it in memory."""
 
     def __init__(self, source: BinaryIO) -> None:
-        self.source, self.start, self.data, self.ended = source, 0, bytearray(), False
-
-    def drop(self, offset: int) -> None:
-        del self.data[: offset - self.start]
-        self.start = offset
-
-    def more(self) -> bool:
-        chunk = b"" if self.ended else self.source.read(_CHUNK)
-        self.ended = not chunk
-        self.data += chunk
-        return bool(chunk)
-
-    def take(self, offset: int, count: int) -> bytes:
-        """Up to `count` bytes at `offset`; fewer only at the end."""
-        while len(self.data) < offset - self.start + count and self.more():
-            pass
+        self.source, self.start, self.data = source, 0, b""
+        self.size = source.seek(0, 2)
+
+    def piece(self, offset: int, least: int = 1) -> bytes:
+        """At least `least` bytes from `offset` on; fewer only at the end."""
         at = offset - self.start
-        return bytes(self.data[at : at + count])
+        if at < 0 or len(self.data) - at < min(least, self.size - offset):
+            self.source.seek(offset)
+            self.data, self.start, at = self.source.read(max(least, _READ)), offset, 0
+        return self.data[at : at + max(least, _CHUNK)]
 
 
 class _Parser:
-    """Checks one record from its uncompressed bytes, given piece by piece; keeps headers, not payloads."""
+    """Checks one record from its uncompressed bytes, given piece by piece; keeps the payload only if asked to."""
 
-    def __init__(self) -> None:
+    def __init__(self, payload: bool = False) -> None:
         self.head, self.headers = bytearray(), None
         self.left = self.tail = 0
-        self.http = bytearray()
-        self.payload: sha256 | None = None
-        self.size = 0
-        self.done = False
+        self.http: bytearray | None = None  # of an HTTP message, until its headers end
+        self.kept = bytearray() if payload else None
+        self.block, self.payload, self.size = None, sha256(), 0
+        self.coded = self.done = False
 
     def feed(self, data: bytes) -> bytes:
         """Takes what belongs to the record and gives back the rest."""
@@ -144,7 +144,7 @@ class _Parser:
             self._open(head)
         block, data = data[: self.left], data[self.left :]
         self.left -= len(block)
-        self._block(block)
+        self._take(block)
         if not self.left and data and self.tail < 4:
             end = data[: 4 - self.tail]
             if end != b"\r\n\r\n"[self.tail : self.tail + len(end)]:
@@ -155,57 +155,90 @@ class _Parser:
         return data if self.done else b""
 
     def _open(self, head: bytes) -> None:
-        headers = {}
+        headers, last = {}, None
         for line in head.split(b"\r\n")[1:]:
             name, colon, value = line.partition(b":")
-            if not colon:
+            if line[:1] in (b" ", b"\t") and last:  # a value may go on in the next line
+                headers[last] += f" {line.strip().decode('utf-8', 'replace')}"
+                continue
+            if not colon or not _NAME.fullmatch(name) or b"\0" in value:
                 raise Damaged("a header without a name")
-            headers[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+            last = name.lower().decode()
+            headers[last] = value.strip().decode("utf-8", "replace")
         try:
-            self.left = int(headers["content-length"])
-            self.digest = headers["warc-payload-digest"].removeprefix("sha256:")
-            self.expected = int(headers["payload-length"])
-            self.type, self.id = headers["warc-type"], headers["page-id"]
+            self.left, self.type = int(headers["content-length"]), headers["warc-type"]
+            self.expected = int(headers["payload-length"]) if "payload-length" in headers else None
         except (KeyError, ValueError):
             raise Damaged("a header is missing or malformed") from None
-        if self.left < 0 or self.type not in ("response", "revisit"):
+        self.id, self.record_id = headers.get("page-id"), headers.get("warc-record-id")
+        own = self.id is not None or "page-none" in headers
+        if self.left < 0 or not self.type or own != (self.expected is not None):
+            raise Damaged("a header is missing or malformed")
+        if own and (self.record_id != record_id(self.id) or self.type not in ("response", "revisit")):
             raise Damaged("a header is missing or malformed")
+        if own and (self.type == "revisit") != ("refers-to-page" in headers):
+            raise Damaged("a header is missing or malformed")
+        if headers.get("content-type", "").lower().startswith("application/http"):
+            self.http = bytearray()
+        if headers.get("warc-block-digest", "").startswith("sha1:"):
+            self.block = sha1()
+        self.short = sha1() if headers.get("warc-payload-digest", "").startswith("sha1:") else None
         self.headers = headers
 
-    def _block(self, data: bytes) -> None:
-        if self.payload is None and data:
+    def _take(self, data: bytes) -> None:
+        if self.block is not None:
+            self.block.update(data)
+        if self.http is not None:
             self.http += data
             end = self.http.find(b"\r\n\r\n")
             if end < 0:
-                if len(self.http) > _HEAD:
-                    raise Damaged("no end of the response's headers")
-                return
-            data, self.payload = bytes(self.http[end + 4 :]), sha256()
-        if self.payload is not None:
-            self.payload.update(data)
-            self.size += len(data)
+                if self.left and len(self.http) <= _HEAD:
+                    return
+                end = -4  # no HTTP headers after all
+            data, head = bytes(self.http[end + 4 :]), bytes(self.http[: max(end, 0)])
+            self.http, self.coded = None, b"\r\ntransfer-encoding:" in head.lower()
+        self.payload.update(data)
+        self.size += len(data)
+        if self.short is not None:
+            self.short.update(data)
+        if self.kept is not None:
+            self.kept += data
 
     def record(self, offset: int, length: int) -> Record:
         if not self.done:
             raise Damaged("the record is cut off")
-        if self.payload is None:
-            raise Damaged("no end of the response's headers")
-        if self.type == "response" and (self.size, self.payload.hexdigest()) != (self.expected, self.digest):
-            raise Damaged("the payload differs from its digest")
-        if self.type == "revisit" and (self.size or "refers-to-page" not in self.headers):
-            raise Damaged("a header is missing or malformed")
         found = self.headers.get
-        return Record(
-            offset, length, self.type, self.id, found("refers-to-page"), self.expected, self.digest, found("warc-target-uri")
-        )
+        said = found("warc-payload-digest", "").removeprefix("sha256:")
+        if self.block is not None and said_sha1(self.block) != found("warc-block-digest"):
+            raise Damaged("the block differs from its digest")
+        digest = self.payload.hexdigest()
+        if self.type == "revisit":
+            if self.expected is not None and self.size:
+                raise Damaged("a revisit with a payload")
+            digest = said
+        elif self.expected is not None and (self.size, digest) != (self.expected, said):
+            raise Damaged("the payload differs from its digest")
+        elif self.short is not None and not self.coded and said_sha1(self.short) != said:
+            raise Damaged("the payload differs from its digest")
+        elif re.fullmatch("[0-9a-f]{64}", said) and not self.coded and said != digest:
+            raise Damaged("the payload differs from its digest")
+        size = self.size if self.expected is None else self.expected
+        refers_to = found("refers-to-page", found("warc-refers-to"))
+        kept = None if self.kept is None else bytes(self.kept)
+        return Record(offset, length, self.type, self.id, refers_to, size, digest, found("warc-target-uri"), self.record_id, kept)
 
 
-def _member(window: _Window, offset: int) -> Record:
+def said_sha1(digest) -> str:
+    """A SHA-1 as headers have it."""
+    return f"sha1:{b32encode(digest.digest()).decode()}"
+
+
+def _member(window: _Window, offset: int, payload: bool) -> Record:
     """The record of the gzip member at `offset`."""
-    parser, unpack, at = _Parser(), zlib.decompressobj(wbits=31), offset
+    parser, unpack, at = _Parser(payload), zlib.decompressobj(wbits=31), offset
     try:
         while not unpack.eof:
-            piece = window.take(at, _CHUNK)
+            piece = window.piece(at)
             if not piece:
                 raise Damaged("the member is cut off")
             at += len(piece)
@@ -221,28 +254,34 @@ def _member(window: _Window, offset: int) -> Record:
     return parser.record(offset, at - len(unpack.unused_data) - offset)
 
 
-def _plain(window: _Window, offset: int) -> Record:
-    """The record at `offset` of an uncompressed archive."""
-    parser, at = _Parser(), offset
+def _plain(window: _Window, offset: int, payload: bool) -> Record:
+    """The record at `offset` of an uncompressed archive. Of a long one the end is looked at first: a false head
+    mostly shows there, and costs no more than its headers."""
+    parser, at, seen = _Parser(payload), offset, False
     while not parser.done:
-        piece = window.take(at, _CHUNK)
+        piece = window.piece(at)
         if not piece:
             raise Damaged("the record is cut off")
         at += len(piece) - len(parser.feed(piece))
+        if parser.headers is not None and not seen:
+            seen = True
+            if parser.left and window.piece(at + parser.left, 4)[:4] != b"\r\n\r\n":
+                raise Damaged("no end of record")
     return parser.record(offset, at - offset)
 
 
-def salvage(source: BinaryIO) -> Iterator[Record | Gap]:
-    """The records of an archive and the gaps between them, in order. Memory is bounded by the largest record."""
+def salvage(source: BinaryIO, *, payload: bool = False) -> Iterator[Record | Gap]:
+    """The records of an archive and the gaps between them, in order. The source must be one that can be read
+    anywhere; a bounded piece of it is in memory, and a record's payload if asked for."""
     window, offset = _Window(source), 0
     gap, reason = None, ""
-    while first := window.take(offset, 10):
-        window.drop(offset)
+    while offset < window.size:
+        first = window.piece(offset, 10)
         try:
             if first.startswith(_MAGIC):
-                record = _member(window, offset)
+                record = _member(window, offset, payload)
             elif _START.match(first):
-                record = _plain(window, offset)
+                record = _plain(window, offset, payload)
             else:
                 raise Damaged("no record begins here")
         except Damaged as damage:
@@ -261,16 +300,12 @@ def salvage(source: BinaryIO) -> Iterator[Record | Gap]:
 
 def _next(window: _Window, offset: int) -> int:
     """Where from `offset` on a record can begin: a member's magic number or a version line; else the end."""
-    while True:
-        at = max(0, offset - window.start)
-        places = [p for p in (window.data.find(_MAGIC, at), window.data.find(b"WARC/1.", at)) if p >= 0]
-        if places:
-            return window.start + min(places)
-        keep = max(at, len(window.data) - 6)  # a mark may go over the end
-        offset = window.start + keep
-        window.drop(offset)
-        if not window.more():
-            return window.start + len(window.data)
+    while offset < window.size:
+        data = window.piece(offset, 7)
+        if places := [p for p in (data.find(_MAGIC), data.find(b"WARC/1.")) if p >= 0]:
+            return offset + min(places)
+        offset += max(1, len(data) - 6)  # a mark may go over the end
+    return window.size
 
 
 # --- tables -------------------------------------------------------------------
@@ -329,11 +364,11 @@ def write_archives(pages: DataFrame, folder: str, *, compress: bool = True, roll
     return saved(text.mapInPandas(write, "archive string, bytes long, records long"), "archives")
 
 
-def read_archives(archives: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+def read_archives(archives: DataFrame, folder: str, *, payload: bool = False) -> tuple[DataFrame, DataFrame]:
     """Records and gaps of the archives named in the column `archive`: two tables, RECORDS and GAPS.
 
-    Every archive is read by one task as a stream; archives are of bounded size, so they are spread over the
-    cluster. Both tables come from one pass.
+    Every archive is read by one task piece by piece; archives are of bounded size, so they are spread over the
+    cluster. Both tables come from one pass. Payloads are null unless asked for.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -341,14 +376,15 @@ def read_archives(archives: DataFrame, folder: str) -> tuple[DataFrame, DataFram
         names = [*Record._fields, "start", "end", "reason"]
         for batch in batches:
             for archive in batch["archive"]:
-                rows = []
-                with system.open_input_stream(f"{path}/{archive}", compression=None) as source:
-                    for found in salvage(source):
+                rows, held = [], 0
+                with system.open_input_file(f"{path}/{archive}") as source:
+                    for found in salvage(source, payload=payload):
                         record = isinstance(found, Record)
                         rows.append((*found, None, None, None) if record else (None,) * len(Record._fields) + found)
-                        if len(rows) == 10_000:
+                        held += len(found.payload or b"") if record else 0
+                        if len(rows) == 10_000 or held >= 1 << 25:
                             yield _frame(archive, rows, names)
-                            rows = []
+                            rows, held = [], 0
                 yield _frame(archive, rows, names)
 
     spread = archives.select("archive").repartition(max(1, min(archives.count(), 10_000)))
@@ -377,7 +413,7 @@ def archive_pages(
     """Writes every page to archives in `folder` and reads them back: records and gaps.
 
     Records have the page's id in `id`, as text. A null html is an empty payload, a null url an empty target;
-    a null page id is written as "None". Rows with a repeated id are records of their own; a repeated
+    a null page id is no id, and read as null. Rows with a repeated id are records of their own; a repeated
     payload of the same page stays a response. An empty table gives no archives. Other columns are ignored.
     """
     html = F.col(html) if isinstance(html, str) else html
