@@ -33,7 +33,6 @@ _MATCHES = 200_000  # matches whose output is remembered; beyond, begun anew
 _PAIRS = 400_000  # verdicts on neighbouring tokens kept; beyond, begun anew
 _SMALL = 64  # tokens below a trie node up to which dead readings are sought
 _BREAK = regex.compile(r"(?<=\S)\s")
-_HIGH = re.compile(rb"[\x80-\xff]+")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -256,22 +255,30 @@ class Utf8Stream:
         self._low, self._high, self._owed = 0x80, 0xBF, 0
 
     def feed(self, chunk: bytes) -> str:
-        at = 0
-        for run in _HIGH.finditer(chunk):
-            if self._owed and run.start() > at:
-                raise ValueError("a character is cut off")
-            for byte in run.group():
-                self._move(byte)
-            at = run.end()
-        if self._owed and len(chunk) > at:
-            raise ValueError("a character is cut off")
-        data, self._rest = self._rest + chunk, b""
+        """Steps over the rest of an open character and over one that the chunk leaves open; what lies between
+        are whole characters, which the codec checks."""
+        start = 0
+        while self._owed and start < len(chunk):
+            self._move(chunk[start])
+            start += 1
+        done = self._rest + chunk[:start]
         if self._owed:
-            lead = len(data) - 1
-            while data[lead] < 0xC0:
-                lead -= 1
-            data, self._rest = data[:lead], data[lead:]
-        return data.decode()
+            self._rest = done
+            return ""
+        end = len(chunk)
+        for at in range(end - 1, max(start, end - 3) - 1, -1):
+            if chunk[at] < 0x80:
+                break
+            if chunk[at] >= 0xC0:
+                self._move(chunk[at])
+                for byte in chunk[at + 1 :]:
+                    if self._owed:
+                        self._move(byte)
+                if self._owed:
+                    end = at
+                break
+        self._rest = chunk[end:]
+        return done.decode() + chunk[start:end].decode()
 
     def _move(self, byte: int) -> None:
         if self._owed:
