@@ -21,17 +21,17 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ENCODED = "doc_id long, n_tokens long, ids binary, decoded_sha256 string"
+ENCODED = "n_tokens long, ids binary, decoded_sha256 string"
 _WINDOW = 1 << 20  # characters split into matches at a time
 _STATES = 150_000  # determinised states kept; beyond, the table is begun anew
 _MATCHES = 200_000  # matches whose output is remembered; beyond, begun anew
 _PAIRS = 400_000  # verdicts on neighbouring tokens kept; beyond, begun anew
-_SMALL = 64  # tokens below a trie node up to which dead readings are sought
+_SMALL = 4  # tokens below a trie node up to which dead readings are sought
 _BREAK = regex.compile(r"(?<=\S)\s")
 
 
@@ -46,7 +46,9 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self._parts: dict[bytes, tuple[bytes, bytes]] = {}
         self._edges: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
@@ -169,11 +171,16 @@ class Transducer:
             if self.child[node] and self._open(last, node):
                 readings.append((output, last, node))
         readings.append(closed)  # the encoding of all bytes so far: there is exactly one
-        agreed = 0
-        first, *others = (reading[0] for reading in readings)
-        while len(first) > agreed and all(len(o) > agreed and o[agreed] == first[agreed] for o in others):
-            agreed += 1
-        key = tuple((output[agreed:], last, node) for output, last, node in readings)
+        agreed, first = 0, closed[0]
+        if len(readings) > 1:
+            # What the least and the greatest begin with, all do.
+            outputs = [reading[0] for reading in readings]
+            first, most = min(outputs), max(outputs)
+            while agreed < len(first) and agreed < len(most) and first[agreed] == most[agreed]:
+                agreed += 1
+        else:
+            agreed = len(first)
+        key = tuple([(output[agreed:], last, node) for output, last, node in readings]) if agreed else tuple(readings)
         number = self._numbers.get(key)
         if number is None:
             number = self._numbers[key] = len(self._readings)
@@ -240,7 +247,7 @@ class Codec:
     def decode_chunks(self, packed: Iterable[bytes]) -> Iterator[bytes]:
         tokens = self.transducer.tokens
         for chunk in packed:
-            yield b"".join(map(tokens.__getitem__, np.frombuffer(chunk, "<u4").tolist()))
+            yield b"".join([tokens[rank] for rank in np.frombuffer(chunk, "<u4").tolist()])
 
 
 class Utf8Stream:
@@ -330,25 +337,25 @@ def encode_documents(
 
     `path` names the rank file on every executor, `pattern` splits the text before merging. One row
     per input row: `doc_id, n_tokens, ids` (little-endian unsigned 32-bit), `decoded_sha256`. A null or
-    empty text has no tokens; a null id stays null; repeated rows give repeated rows; other columns
+    empty text has no tokens; an id of any type stays as it is; repeated rows give repeated rows; other columns
     are ignored. Nothing is shuffled.
     """
     doc_id, text = (F.col(c) if isinstance(c, str) else c for c in (doc_id, text))
-    rows = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
+    rows = docs.select(doc_id.alias("doc_id"), text.cast("string").alias("text"))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern)
         for batch in batches:
             out = []
-            for one in batch["text"]:
-                chunks = list(coder.encode_chunks(one or ""))
+            for one in batch.column(1):
+                chunks = list(coder.encode_chunks(one.as_py() or ""))
                 decoded = hashlib.sha256()
                 for characters in decode_text(coder, chunks):
                     decoded.update(characters.encode())
                 ids = b"".join(chunks)
                 out.append((len(ids) // 4, ids, decoded.hexdigest()))
-            found = pd.DataFrame(out, columns=["n_tokens", "ids", "decoded_sha256"])
-            found.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield found
+            columns = zip(*out) if out else ((), (), ())
+            found = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.string()))]
+            yield pa.record_batch([batch.column(0), *found], names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
 
-    return rows.mapInPandas(encode, ENCODED)
+    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {ENCODED}")
