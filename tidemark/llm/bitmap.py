@@ -11,22 +11,26 @@ _BITS_EACH = 32  # bits per hash, as long as the most allows
 
 
 class Bitmap:
-    """Hashes, each as one of 2 ** bits bits: true for every hash of the set, and for some others. Sized by
-    the set up to a most; beyond, more of the others pass."""
+    """Hashes, each as two of 2 ** bits bits, its first and its last: true for every hash of the set, and for
+    some others. Sized by the set up to a most; beyond, more of the others pass."""
 
     def __init__(self, bits: int, words: np.ndarray) -> None:
-        self.shift, self.words = np.uint64(64 - bits), words
+        self.shift, self.low, self.words = np.uint64(64 - bits), np.uint64((1 << bits) - 1), words
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> self.shift
+    def _bit(self, at: np.ndarray) -> np.ndarray:
         return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        out = self._bit(hashes >> self.shift)
+        out[out] = self._bit(hashes[out] & self.low)
+        return out
+
     @staticmethod
     def of(hashes: DataFrame) -> Bitmap:
         """Of `hashes(hash)`; at most 2 ** (_MOST_BITS - 6) rows of two numbers reach the driver, by Arrow."""
         bits = min(max(int(_BITS_EACH * hashes.count()).bit_length(), _LEAST_BITS), _MOST_BITS)
-        at = F.shiftrightunsigned("hash", 64 - bits)
-        rows = hashes.select(at.alias("at")).selectExpr("shiftright(at, 6) word", "shiftleft(1L, cast(at & 63 as int)) bit")
+        places = F.array(F.shiftrightunsigned("hash", 64 - bits), F.col("hash").bitwiseAND((1 << bits) - 1))
+        rows = hashes.select(F.explode(places).alias("at")).selectExpr("shiftright(at, 6) word", "shiftleft(1L, cast(at & 63 as int)) bit")
         rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
         words = np.zeros(1 << (bits - 6), np.int64)
         words[rows["word"].to_numpy()] = rows["bits"].to_numpy()

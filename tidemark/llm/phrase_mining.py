@@ -1,14 +1,13 @@
 """Phrase collocations per language, mined by the SON partition method.
 
 The rows are divided into a few shards. Each shard is mined completely at the support that its share of a
-language's words makes of the whole support: a phrase with 30 occurrences in all has, in some shard, at
-least `30 * words of the shard / words of all`. What is frequent in any shard is a candidate, and all
-candidates are then counted exactly over all rows. A shard is a set of tasks, not one task: with more
+language's words makes of the whole support: a phrase with 30 occurrences in all must reach that in some
+shard. What is frequent in any shard is a candidate, and all candidates are then counted exactly over all rows. A shard is a set of tasks, not one task: with more
 shards than the support, a phrase of one occurrence would be frequent somewhere, and nothing would be left out.
 
 Shards are mined by length. Words are counted exactly first; only words with the whole support can be in
-a phrase. Bigrams of such words follow, then phrases of three and four words whose bigrams are all
-candidates. Tasks count hashes of phrases in blocks and hand on one row per phrase and block, so a frequent
+a phrase. Bigrams of such words follow, then phrases of three and of four words whose parts one word shorter
+are candidates. Tasks count hashes of phrases in blocks and hand on one row per phrase and block, so a frequent
 phrase is no hot key. Candidates are handed to tasks as a bitmap of their hashes; it lets some phrases
 through that are no candidates, but loses none, and the last count is of the phrases themselves.
 """
@@ -28,12 +27,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.bitmap import Bitmap
 from tidemark.llm.shingles import mixed
 from tidemark.llm.tables import saved
+from tidemark.storage import materialised
 
 SUPPORT, LONGEST, BEST = 30, 4, 2000
 UNDEFINED = "und"
 INSIDE = 80  # a candidate goes if a longer one has this many hundredths of its occurrences
 SCALE = 2_000_000
-_SHARDS = 6  # local support is a sixth of the whole where shards are even
+_SHARDS = 3  # local support is a third of nearly the whole where shards are even
+_FEW = 100_000  # rows that are broadcast
 _BLOCK = 1 << 20  # words counted at a time
 _CHUNK = 1 << 22  # bytes of text split into words at a time
 _OUT = 1 << 16  # rows handed on at a time
@@ -133,16 +134,22 @@ def _hashes_of(rows: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series(np.array([word_hashes([w], lang)[0] for lang, w in zip(langs, words)], np.uint64).view(np.int64))
 
 
-def _mine(lengths: tuple[int, ...], words: Bitmap, pairs: Bitmap | None) -> Callable:
-    """Counts phrases of some lengths in each block: those of frequent words whose bigrams are candidates, if these are known.
-    A row without a hash has the number of words of its block."""
+def _mine(length: int, words: Bitmap, shorter: Bitmap | None) -> Callable:
+    """Counts phrases of one length in each block: those of frequent words of which both parts one word shorter are
+    candidates, if these are known. A row without a hash has the number of words of its block."""
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, lang, block, known in _blocks(batches):
-            hashes = word_hashes(known, lang, words)[block]
-            found = [phrase_hash[whole] for phrase_hash, whole in _allowed(hashes, lengths, pairs)]
-            del hashes
-            each, n = np.unique(np.concatenate(found), return_counts=True)
+            hashes, allowed = word_hashes(known, lang, words)[block], None
+            for size, value, whole in grams(hashes):
+                if size == length - 1:
+                    allowed = whole.copy()
+                    allowed[whole] = shorter.has(value[whole])
+                if size == length:
+                    found = value[whole if allowed is None else whole & allowed[: len(whole)] & allowed[1 : len(whole) + 1]]
+                    break
+            del hashes, value, whole
+            each, n = np.unique(found, return_counts=True)
             yield _shard_rows(shard, lang, pa.nulls(1, pa.int64()), pa.array([np.count_nonzero(block)]))
             for start in range(0, len(each), _OUT):
                 part = slice(start, start + _OUT)
@@ -151,41 +158,35 @@ def _mine(lengths: tuple[int, ...], words: Bitmap, pairs: Bitmap | None) -> Call
     return mine
 
 
-def _allowed(hashes: np.ndarray, lengths: tuple[int, ...], pairs: Bitmap | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each length: hashes, and where phrases stand whose bigrams are all candidates."""
-    pair_at = None
-    for size, value, whole in grams(hashes):
-        if size == 2 and pairs is not None:
-            pair_at = whole.copy()
-            pair_at[whole] = pairs.has(value[whole])
-        if size in lengths:
-            if pair_at is not None:
-                whole = whole.copy()
-                for shift in range(size - 1):
-                    whole &= pair_at[shift : shift + len(whole)]
-            yield value, whole
-
-
 def _shard_rows(shard: int, lang: str, hashes: pa.Array, n: pa.Array) -> pa.RecordBatch:
     size = len(hashes)
     columns = [pa.array(np.full(size, shard, np.int32)), pa.array([lang] * size, pa.string()), hashes, n]
     return pa.record_batch(columns, names=["shard", "lang", "hash", "n"])
 
 
-def _candidates(texts: DataFrame, mine: Callable, name: str) -> DataFrame:
-    """`hash` of phrases that have their local support in some shard."""
-    rows = saved(texts.mapInArrow(mine, "shard int, lang string, hash long, n long"), name)
-    size = rows.where("hash is null").groupBy("shard", "lang").agg(F.sum("n").alias("words"))
-    whole = size.groupBy("lang").agg(F.sum("words").alias("all_words"))
-    # Rounded up in whole numbers, beyond 64 bits if need be.
-    share = F.expr(f"cast((cast(words as decimal(20, 0)) * {SUPPORT} + all_words - 1) div all_words as long)")
-    support = size.join(whole, "lang").where("words > 0").select("shard", "lang", share.alias("support"))
-    counts = rows.where("hash is not null").groupBy("shard", "lang", "hash").agg(F.sum("n").alias("n"))
-    return saved(counts.join(support, ["shard", "lang"]).where("n >= support").select("hash").distinct(), f"{name}_found")
-
+def _candidates(texts: DataFrame, mine: Callable) -> Bitmap:
+    """The phrases that have their local support in some shard.
 
-def _count_candidates(words: Bitmap, pairs: Bitmap, longer: Bitmap) -> Callable:
-    """Counts the phrases of each block that pass the bitmaps, by the words themselves."""
+    Supports that add up to less than `SUPPORT` when each is lowered by one leave no phrase out. A shard's is its share of
+    `SUPPORT - (_SHARDS - 1)`, rounded up, but at least two: of shards so raised there are fewer than `_SHARDS`.
+    """
+    rows = texts.mapInArrow(mine, "shard int, lang string, hash long, n long")
+    rows = rows.groupBy("shard", "lang", "hash").agg(F.sum("n").alias("n")).where("hash is null or n > 1")
+    with materialised(rows, "mined") as counts:
+        size = counts.where("hash is null").select("shard", "lang", F.col("n").alias("words")).where("words > 0")
+        whole = size.groupBy("lang").agg(F.sum("words").alias("all_words"))
+        # Rounded up in whole numbers, beyond 64 bits if need be.
+        share = F.expr(f"cast((cast(words as decimal(20, 0)) * {SUPPORT - _SHARDS + 1} + all_words - 1) div all_words as long)")
+        support = size.join(whole, "lang").select("shard", "lang", F.greatest(share, F.lit(2)).alias("support"))
+        support = saved(support, "supports")
+        if support.count() <= _FEW:  # a row per shard and language
+            support = F.broadcast(support)
+        found = counts.where("hash is not null").join(support, ["shard", "lang"]).where("n >= support")
+        return Bitmap.of(saved(found.select("hash").distinct(), "candidates"))
+
+
+def _count_candidates(words: Bitmap, candidates: dict[int, Bitmap]) -> Callable:
+    """Counts the phrases of each block that pass the bitmaps of their lengths, by the words themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, lang, block, known in _blocks(batches):
@@ -195,7 +196,7 @@ def _count_candidates(words: Bitmap, pairs: Bitmap, longer: Bitmap) -> Callable:
                 if stands is not None:  # a phrase needs the one without its last word
                     whole = whole & (stands[: len(whole)] >= 0)
                 at = np.flatnonzero(whole)
-                at = at[(pairs if size == 2 else longer).has(value[at])]
+                at = at[candidates[size].has(value[at])]
                 if not len(at):
                     break
                 before = numbers[at] if stands is None else numbers[stands[at]]
@@ -222,12 +223,10 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang")
     total = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= SUPPORT)
     word_bits = Bitmap.of(saved(frequent.select(F.pandas_udf(_hashes_of, "long")("lang", "word").alias("hash")), "frequent_words"))
-    pair_bits = Bitmap.of(_candidates(texts, _mine((2,), word_bits, None), "bigrams"))
-    longer = tuple(range(3, LONGEST + 1))
-    longer_bits = Bitmap.of(_candidates(texts, _mine(longer, word_bits, pair_bits), "longer"))
-    exact = texts.mapInArrow(
-        _count_candidates(word_bits, pair_bits, longer_bits), "lang string, phrase binary, size int, n long"
-    )
+    candidates: dict[int, Bitmap] = {}
+    for length in range(2, LONGEST + 1):
+        candidates[length] = _candidates(texts, _mine(length, word_bits, candidates.get(length - 1)))
+    exact = texts.mapInArrow(_count_candidates(word_bits, candidates), "lang string, phrase binary, size int, n long")
     exact = exact.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= SUPPORT)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("a"))
     every = exact.unionByName(single).withColumn("phrase", F.col("phrase").cast("string"))
