@@ -1,0 +1,78 @@
+import os
+import random
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+
+from tidemark import run_job
+from tidemark.names import TRANSACTIONS_SCHEMA
+from tidemark.plans import repair_job
+
+START = datetime(2024, 1, 1)
+AS_OF = date(2024, 1, 13)
+
+
+def spec_of(root, rows):
+    return {
+        "data_sources": {"users": {"path": f"{root}/users"}, "transactions": {"path": f"{root}/{rows}"}},
+        "columns": {"transactions": {"sndr_msisdn": "s", "rcvr_msisdn": "r", "date": "d", "sndr_category": "sc", "rcvr_category": "rc", "channel": "c"},
+                    "users": {"msisdn": "m", "status": "st"}},
+        "business_logic": {"active_status_value": "on"},
+        "outputs": {"last_transaction_output": {"path": f"{root}/out_{rows}", "partition_by": ["day"]}, "state": {"path": f"{root}/state_{rows}"}},
+        "metadata": {"tracker_path": f"{root}/progress_{rows}", "job_name_identifier": "x"},
+    }
+
+
+def published(spark, spec):
+    out = []
+    for name in ("last_transaction_output", "state"):
+        rows = spark.read.parquet(spec["outputs"][name]["path"])
+        out.append(sorted(map(str, rows.select(*sorted(rows.columns)).collect())))
+    return out
+
+
+def files(spec):
+    root = Path(spec["outputs"]["last_transaction_output"]["path"])
+    return {p.name: sorted(os.listdir(p)) for p in root.glob("day=*")}
+
+
+def rows(seed, n, days=(0, 12)):
+    pick = random.Random(seed)
+    at = lambda: START + timedelta(days=pick.randrange(*days), hours=pick.randrange(0, 24, 6))
+    party = lambda: pick.choice([*(f"p{i}" for i in range(40)), "", None])
+    return [(party(), party(), at(), pick.choice(["A", "B", None]), pick.choice(["A", "C"]), pick.choice(["C2S", "O2C", "C2C", "zzz"])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("late", [rows(8, 25, (0, 9)), rows(9, 2, (10, 12)), [], [(None, None, START, "A", "A", "C2S")]])
+def test_equals_a_full_rebuild(spark, tmp_path, late):
+    schema = "s string, r string, d timestamp, sc string, rc string, c string"
+    on_time = rows(7, 150)
+    spark.createDataFrame([(f"p{i}", "on" if i % 3 else "off") for i in range(45)], "m string, st string").write.parquet(f"{tmp_path}/users")
+    spark.createDataFrame(on_time, schema).write.parquet(f"{tmp_path}/before")
+    spark.createDataFrame(on_time + late, schema).write.parquet(f"{tmp_path}/whole")
+    before, whole = spec_of(tmp_path, "before"), spec_of(tmp_path, "whole")
+    for spec in (before, whole):
+        run_job(spark, spec, "initial", AS_OF, start="2024-01-01", end="2024-01-12")
+    old, held = published(spark, before)[0], files(before)
+    arrived = spark.createDataFrame(late, TRANSACTIONS_SCHEMA_OF)
+    changed = repair_job(spark, before, arrived)["last_transaction_output"]
+    assert published(spark, before) == published(spark, whole)
+    # Only days whose picture changed were written, and a second repair writes none.
+    assert {d for d, f in files(before).items() if held.get(d) != f} == {f"day={d}" for d in changed}
+    assert bool(changed) == (published(spark, before)[0] != old)
+    assert repair_job(spark, before, arrived) == {"last_transaction_output": [], "state": []}
+
+
+TRANSACTIONS_SCHEMA_OF = "sender_msisdn string, receiver_msisdn string, transaction_date timestamp, sender_category string, receiver_category string, channel string"
+
+
+def test_schema_is_the_logical_one():
+    assert TRANSACTIONS_SCHEMA_OF == TRANSACTIONS_SCHEMA
+
+
+def test_output_without_days_is_refused(spark):
+    spec = spec_of("/nowhere", "x")
+    spec["outputs"]["last_transaction_output"]["partition_by"] = []
+    with pytest.raises(ValueError, match="partitioned by day"):
+        repair_job(spark, spec, spark.createDataFrame([], TRANSACTIONS_SCHEMA))

@@ -1,7 +1,9 @@
 """DataFrame operators: unpivot, join, rank, snapshot, calendar."""
 
+from tidemark.operators.asof import asof_join
 from tidemark.operators.calendar import catchup_days, each_day, processing_days, processing_range
 from tidemark.operators.events import party_events, union_events
+from tidemark.operators.late import late_changes, with_changes
 from tidemark.operators.latest import (
     latest_event,
     latest_first,
@@ -16,10 +18,12 @@ from tidemark.operators.snapshots import advance_state, daily_snapshots, expand_
 __all__ = [
     "StageCounts",
     "advance_state",
+    "asof_join",
     "catchup_days",
     "daily_snapshots",
     "each_day",
     "expand_days",
+    "late_changes",
     "latest_event",
     "latest_first",
     "latest_per_key",
@@ -32,4 +36,5 @@ __all__ = [
     "union_events",
     "validity",
     "whole_plans",
+    "with_changes",
 ]

@@ -23,13 +23,13 @@ def rank_events(events: DataFrame, rank: str = "rn") -> DataFrame:
     Expects events as `party_events` returns them: the party is never null.
     """
     distinct = events.groupBy(PARTY, TIME, CATEGORY).agg(F.count(F.lit(1)).alias("copies"))
-    distinct = distinct.withColumn("at", F.coalesce(_seconds(events), F.lit(-(2**62))))  # no time: after every dated slot
+    distinct = distinct.withColumn("at", F.coalesce(clock_seconds(events, TIME), F.lit(-(2**62))))  # no time: after every dated slot
     distinct = distinct.withColumn("hour", F.expr("at div 3600"))
 
-    # At most one in _LARGE events names a large hour: a list of bounded size.
+    # At most one event in _LARGE names a large hour. Whether that is few enough to broadcast, Spark sees at run time.
     hours = distinct.groupBy(PARTY, "hour").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows"))
     large = hours.where(F.col("rows") > _LARGE).select(PARTY, "hour", F.lit(True).alias("large"))
-    cut = distinct.join(F.broadcast(large), [PARTY, "hour"], "left")
+    cut = distinct.join(large, [PARTY, "hour"], "left")
     cut = cut.withColumn("slot", F.when(F.col("large"), F.col("at"))).drop("at", "large")
     seconds = cut.where("slot is not null").groupBy(PARTY, "hour", "slot").agg(F.sum("copies").alias("n"))
     whole = hours.where(F.col("rows") <= _LARGE).select(PARTY, "hour", F.lit(None).cast("long").alias("slot"), "n")
@@ -56,11 +56,11 @@ def rank_events(events: DataFrame, rank: str = "rn") -> DataFrame:
     return _one_row_per_copy(placed, rank)
 
 
-def _seconds(events: DataFrame) -> Column:
+def clock_seconds(df: DataFrame, name: str) -> Column:
     """Seconds that never run backwards: of the epoch, or of the clock where times have no zone."""
-    if dict(events.dtypes)[TIME] == "timestamp":
-        return F.unix_seconds(TIME)
-    time = F.col(TIME).cast("timestamp_ntz")
+    if dict(df.dtypes)[name] == "timestamp":
+        return F.unix_seconds(name)
+    time = F.col(name).cast("timestamp_ntz")
     hours = F.unix_date(F.to_date(time)).cast("long") * 24 + F.hour(time)
     return hours * 3600 + F.minute(time) * 60 + F.second(time)
 

@@ -3,6 +3,7 @@
 from tidemark.plans.job import ProgressNotRecorded, Run, run_job
 from tidemark.plans.last_transaction import calculate_last_transaction, channel_rules, shape_output
 from tidemark.plans.progress import append_progress, create_progress, last_done, read_progress
+from tidemark.plans.repair import repair_job
 
 __all__ = [
     "ProgressNotRecorded",
@@ -13,6 +14,7 @@ __all__ = [
     "create_progress",
     "last_done",
     "read_progress",
+    "repair_job",
     "run_job",
     "shape_output",
 ]
