@@ -21,15 +21,19 @@ from tidemark.names import CATEGORY, DONE, JOB, OUT_DAY, PARTY, TIME
 from tidemark.operators import (
     StageCounts,
     advance_state,
+    apply_difference,
     asof_join,
     catchup_days,
     daily_snapshots,
     each_day,
+    interval_join,
     latest_event,
     only_parties,
     party_events,
     rank_events,
+    snapshot_difference,
     union_events,
+    validity,
     whole_plans,
 )
 from tidemark.plans import (
@@ -40,6 +44,7 @@ from tidemark.plans import (
     read_progress,
     repair_job,
     run_job,
+    run_stream,
     shape_output,
 )
 from tidemark.sinks import write_output
@@ -186,6 +191,17 @@ def late_repair(spark, sf_dir):
     return _published(spark, spec)
 
 
+def job_streamed(spark, sf_dir):
+    """The feed as six files of mixed days, two to a batch: pictures as those of the job over all of it."""
+    folder = scratch_path(spark, "arriving")
+    table(spark, sf_dir, "events").repartition(6, "event_id").write.parquet(folder)
+    spec = _job_outputs(spark, job_spec(sf_dir))
+    spec["data_sources"] = {**spec["data_sources"], "transactions": {"path": folder}}
+    spec["outputs"]["increments"] = {"path": scratch_path(spark, "increments")}
+    run_stream(spark, spec, AS_OF, files_per_batch=2)
+    return _published(spark, spec)
+
+
 def _job_outputs(spark, spec):
     root = scratch_path(spark, "job")
     return {
@@ -247,6 +263,30 @@ def last_click_before(spark, sf_dir):
     return found.select("event_id", "user_id", "ts", "click_id", "clicked", F.col("value").alias("click_value"))
 
 
+def purchase_held(spark, sf_dir):
+    """Every event with its user's purchase that counted on its day."""
+    events = feed(spark, sf_dir).select(PARTY, F.col(TIME).alias("ts"), F.col(CATEGORY).alias("kind"))
+    spans = validity(feed(spark, sf_dir).where(F.col(CATEGORY) == "purchase"))
+    spans = spans.select(PARTY, F.col(TIME).alias("purchased"), "valid_from", F.date_add("valid_to", 1).alias("until"))
+    return interval_join(events, spans, PARTY, "ts", "valid_from", "until", ["purchased", "valid_from"])
+
+
+def snapshot_changes(spark, sf_dir):
+    """What the pictures of the 10th and the 20th differ in."""
+    return snapshot_difference(*_two_pictures(spark, sf_dir))
+
+
+def snapshot_applied(spark, sf_dir):
+    """The picture of the 20th, from that of the 10th and the differences."""
+    early, late = _two_pictures(spark, sf_dir)
+    return apply_difference(early, snapshot_difference(early, late))
+
+
+def _two_pictures(spark, sf_dir):
+    events = feed(spark, sf_dir)
+    return [daily_snapshots(events, day, day).drop("day") for day in (date(2024, 1, 10), date(2024, 1, 20))]
+
+
 def load_metrics(spark, sf_dir):
     """Rows per stage, observed while the flagship runs once; one stage turns out empty."""
     count = StageCounts()
@@ -482,6 +522,10 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_days_run": job_days_run,
         "late_repair": late_repair,
         "last_click_before": last_click_before,
+        "purchase_held": purchase_held,
+        "snapshot_changes": snapshot_changes,
+        "snapshot_applied": snapshot_applied,
+        "job_streamed": job_streamed,
         "job_range_run": job_range_run,
         "job_resumed_run": job_resumed_run,
         "job_rerun": job_rerun,
@@ -586,6 +630,31 @@ def own_oracle_sql() -> dict[str, str]:
               FROM events WHERE event_type = 'click' GROUP BY user_id, ts)
             SELECT e.event_id, e.user_id, e.ts, c.click_id, c.clicked, c.click_value
             FROM events e ASOF LEFT JOIN clicks c ON e.user_id = c.user_id AND e.ts >= c.clicked""",
+        "purchase_held": f"""
+            WITH {_FEED}, days AS (
+              SELECT msisdn, CAST(event_date AS DATE) AS valid_from, max(event_date) AS purchased
+              FROM ev WHERE event_category = 'purchase' GROUP BY ALL),
+            spans AS (SELECT *, lead(valid_from) OVER (PARTITION BY msisdn ORDER BY valid_from) AS until FROM days)
+            SELECT ev.msisdn, event_date AS ts, event_category AS kind, purchased, valid_from
+            FROM ev JOIN spans ON ev.msisdn = spans.msisdn AND event_date >= valid_from
+                              AND (until IS NULL OR event_date < until)""",
+        "snapshot_changes": f"""
+            WITH {_FEED}, {_DAYS}, {_AS_OF}, early AS (SELECT * FROM known WHERE rn = 1 AND day = DATE '2024-01-10'),
+            late AS (SELECT * FROM known WHERE rn = 1 AND day = DATE '2024-01-20')
+            SELECT coalesce(a.msisdn, b.msisdn) AS msisdn,
+                   CASE WHEN a.msisdn IS NULL THEN 'appeared' WHEN b.msisdn IS NULL THEN 'vanished' ELSE 'changed' END AS change,
+                   a.event_date AS old_event_date, a.event_category AS old_event_category,
+                   b.event_date AS new_event_date, b.event_category AS new_event_category
+            FROM early a FULL JOIN late b ON a.msisdn = b.msisdn
+            WHERE (a.event_date, a.event_category, a.msisdn) IS DISTINCT FROM (b.event_date, b.event_category, b.msisdn)""",
+        "snapshot_applied": f"""
+            WITH {_FEED}, {_DAYS}, {_AS_OF}
+            SELECT msisdn, event_date, event_category FROM known WHERE rn = 1 AND day = DATE '2024-01-20'""",
+        "job_streamed": f"""
+            WITH {_JOB_FEED}, {_DAYS}, {_AS_OF}
+            SELECT msisdn AS party_id, event_date AS zb_last_transaction_date, event_category AS zb_user_category,
+                   'building' AS zb_user_status, CAST(day AS VARCHAR) AS day
+            FROM known WHERE rn = 1""",
         "job_range_run": f"""
             WITH {_JOB_FEED}
             SELECT msisdn AS party_id, event_date AS zb_last_transaction_date, event_category AS zb_user_category,

@@ -2,7 +2,9 @@
 
 from tidemark.operators.asof import asof_join
 from tidemark.operators.calendar import catchup_days, each_day, processing_days, processing_range
+from tidemark.operators.difference import apply_difference, snapshot_difference
 from tidemark.operators.events import party_events, union_events
+from tidemark.operators.intervals import interval_join
 from tidemark.operators.late import late_changes, with_changes
 from tidemark.operators.latest import (
     latest_event,
@@ -13,26 +15,36 @@ from tidemark.operators.latest import (
 )
 from tidemark.operators.metrics import StageCounts, whole_plans
 from tidemark.operators.ranking import rank_events
-from tidemark.operators.snapshots import advance_state, daily_snapshots, expand_days, validity
+from tidemark.operators.snapshots import (
+    advance_state,
+    daily_snapshots,
+    expand_days,
+    newest_per_category_and_day,
+    validity,
+)
 
 __all__ = [
     "StageCounts",
     "advance_state",
+    "apply_difference",
     "asof_join",
     "catchup_days",
     "daily_snapshots",
     "each_day",
     "expand_days",
+    "interval_join",
     "late_changes",
     "latest_event",
     "latest_first",
     "latest_per_key",
     "newest_per_category",
+    "newest_per_category_and_day",
     "only_parties",
     "party_events",
     "processing_days",
     "processing_range",
     "rank_events",
+    "snapshot_difference",
     "union_events",
     "validity",
     "whole_plans",

@@ -26,6 +26,12 @@ def advance_state(state: DataFrame, events: DataFrame, first: date, last: date |
     return latest_event(union_events(state.select(*_EVENT), new.select(*_EVENT)))
 
 
+def newest_per_category_and_day(events: DataFrame) -> DataFrame:
+    """The newest time of every party, day and category: all that daily pictures are made of."""
+    dated = events.select(*_EVENT, F.to_date(TIME).alias("_day")).where("_day is not null")
+    return dated.groupBy(PARTY, "_day", CATEGORY).agg(F.max(TIME).alias(TIME)).select(*_EVENT)
+
+
 def validity(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """The days on which an event is its party's last known one: `valid_from`, `valid_to`.
 
@@ -34,8 +40,7 @@ def validity(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
     by a hash aggregate; one row per party and day remains of that, whose number the calendar bounds.
     """
     day = F.to_date(TIME)
-    dated = events.select(*_EVENT, day.alias("valid_from")).where("valid_from is not null")
-    newest = dated.groupBy(PARTY, "valid_from", CATEGORY).agg(F.max(TIME).alias(TIME))
+    newest = newest_per_category_and_day(events).withColumn("valid_from", day)
     known = latest_per_key(newest, [PARTY, "valid_from"], latest_first()).select(*_EVENT, "valid_from")
     if state is not None:
         known = known.unionByName(state.select(*_EVENT, day.alias("valid_from")))

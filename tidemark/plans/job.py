@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 from typing import Any
@@ -34,6 +34,10 @@ class ProgressNotRecorded(RuntimeError):
     """The output is complete but the progress table does not say so; repeating the run is safe."""
 
 
+# Party events from a day on (None: all there are) up to a last day, counted by stage.
+EventReader = Callable[[date | None, date, StageCounts], DataFrame]
+
+
 @dataclass(frozen=True)
 class Run:
     """What a run did: its days, or None when there was nothing to do, and rows per stage."""
@@ -80,7 +84,7 @@ def run_job(
         return Run()
     with whole_plans(spark):
         if carry:
-            rows = _publish_days(spark, spec, *days, history_from, broadcast)
+            rows = publish_days(spark, spec, *days, _read_events(spark, spec, history_from), broadcast)
         else:
             rows = _publish_range(spark, spec, *days, broadcast)
     try:
@@ -116,21 +120,29 @@ def _publish_range(
     return count.result()
 
 
-def _publish_days(
+def _read_events(spark: SparkSession, spec: Mapping[str, Any], history_from: date | None) -> EventReader:
+    def read(since: date | None, last: date, count: StageCounts) -> DataFrame:
+        rows = count("transactions", transactions(spark, spec, since or history_from, last, TRANSACTIONS))
+        return party_events(rows, channel_rules(spec))
+
+    return read
+
+
+def publish_days(
     spark: SparkSession,
     spec: Mapping[str, Any],
     first: date,
     last: date,
-    history_from: date | None,
+    events_of: EventReader,
     broadcast: bool | None,
 ) -> dict[str, int]:
+    """Publishes the days from `first` to `last` and keeps their states, from the newest state before `first` and the
+    events since, which `events_of` reads: from a day on, or all if there is no state."""
     place = {"path": spec["outputs"][STATE]["path"]}
     stored = {"data_sources": {STATE: place}}
     count = StageCounts()
     covered = _newest_state(spark, stored, first)
-    since = covered + timedelta(days=1) if covered else history_from
-    rows = count("transactions", transactions(spark, spec, since, last, TRANSACTIONS))
-    events = count("events", party_events(rows, channel_rules(spec)))
+    events = count("events", events_of(covered + timedelta(days=1) if covered else None, last, count))
     state = None
     if covered:
         schema = StructType([*events.schema.fields, StructField(OUT_DAY, DateType())])

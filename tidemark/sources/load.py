@@ -13,7 +13,7 @@ from tidemark.functions import on_days, same_text
 from tidemark.names import PARTY, TRANSACTION_COLUMNS, TRANSACTIONS_SCHEMA, USER_COLUMNS, USERS_SCHEMA
 from tidemark.sources.connections import connection
 from tidemark.sources.jdbc import quote_name, quote_text
-from tidemark.sources.read import JDBC_TYPES, read_source, source_type
+from tidemark.sources.read import FILE_TYPES, JDBC_TYPES, LANDING_TYPES, read_source, source_type
 
 
 _SPLIT = {"partitioncolumn", "lowerbound", "upperbound", "numpartitions"}
@@ -74,6 +74,27 @@ def transactions(
     return rows.withColumns({name: _id(name) for name in ("sender_msisdn", "receiver_msisdn")})
 
 
+def transaction_stream(
+    spark: SparkSession, spec: Mapping[str, Any], source: str = "transactions", *, files_per_batch: int | None = None
+) -> DataFrame:
+    """The transactions of a file source as a stream of the files that arrive, in the six logical columns.
+
+    The source's `schema` is what its files hold; without one it is that of the files that are there now.
+    """
+    entry = dict(spec["data_sources"][source])
+    kind = source_type(entry)
+    if kind not in FILE_TYPES and kind not in LANDING_TYPES:
+        raise ValueError(f"source {source!r} of type {kind!r} has no files to follow")
+    schema = entry.get("schema") or read_source(spark, spec, source).schema
+    options = dict(entry.get("options_override") or {})
+    if files_per_batch:
+        options["maxFilesPerTrigger"] = files_per_batch
+    file_format, path = LANDING_TYPES.get(kind) or kind.removesuffix("_file"), entry.get("path") or entry.get("remote_path")
+    rows = spark.readStream.format(file_format).options(**options).schema(schema).load(path)
+    rows = select_mapped(rows, physical_columns(spec, source, TRANSACTION_COLUMNS))
+    return rows.withColumns({name: _id(name) for name in ("sender_msisdn", "receiver_msisdn")})
+
+
 def _select_in_database(
     spark: SparkSession,
     spec: Mapping[str, Any],
