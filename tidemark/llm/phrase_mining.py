@@ -35,8 +35,8 @@ INSIDE = 80  # a candidate goes if a longer one has this many hundredths of its
 SCALE = 2_000_000
 _SHARDS = 3  # local support is a third of nearly the whole where shards are even
 _FEW = 100_000  # rows that are broadcast
-_BLOCK = 1 << 20  # words counted at a time
-_CHUNK = 1 << 22  # bytes of text split into words at a time
+_BLOCK = 1 << 18  # words counted at a time
+_CHUNK = 1 << 20  # bytes of text split into words at a time
 _OUT = 1 << 16  # rows handed on at a time
 
 # Upper case to lower, ends of pieces to a byte that UTF-8 never has, tabs to spaces.
