@@ -24,14 +24,19 @@ from tidemark.operators import (
     apply_difference,
     asof_join,
     catchup_days,
+    daily_sketches,
     daily_snapshots,
     each_day,
     interval_join,
     latest_event,
+    merge_sketches,
+    moving_totals,
     only_parties,
     party_events,
     rank_events,
+    sessions,
     snapshot_difference,
+    totals_by,
     union_events,
     validity,
     whole_plans,
@@ -42,8 +47,10 @@ from tidemark.plans import (
     create_progress,
     last_done,
     read_progress,
+    read_sessions,
     repair_job,
     run_job,
+    run_sessions,
     run_stream,
     shape_output,
 )
@@ -287,6 +294,59 @@ def _two_pictures(spark, sf_dir):
     return [daily_snapshots(events, day, day).drop("day") for day in (date(2024, 1, 10), date(2024, 1, 20))]
 
 
+def transaction_totals(spark, sf_dir):
+    """Transactions by channel, category and day, by two of these, by one, and in all."""
+    sent = stand_in_transactions(spark, sf_dir).withColumn("sent", F.to_date("transaction_date"))
+    sent = sent.select(F.col("channel"), F.col("sender_category").alias("category"), "sent")
+    sets = [["channel", "category", "sent"], ["channel", "category"], ["channel", "sent"], ["category"], []]
+    return totals_by(sent, sets, {"n": ("count", "*"), "first_day": ("min", "sent"), "last_day": ("max", "sent")})
+
+
+def moving_week(spark, sf_dir):
+    """Events of every user and day with those of the six days before."""
+    events = table(spark, sf_dir, "events").withColumn("cents", F.floor(F.col("value") * 100))
+    measures = {"n": ("count", "*"), "cents": ("sum", "cents"), "largest": ("max", "value")}
+    return moving_totals(events, "user_id", "ts", measures)
+
+
+def merged_sketches(spark, sf_dir):
+    """Users and percentiles of values from the 8th to the 21st, from rows kept per day and kind: by kind, and in all.
+
+    Exact here, as a day has fewer users and values of a kind than a row lists; beyond that the operator estimates.
+    """
+    kept = scratch_path(spark, "sketches")
+    daily_sketches(table(spark, sf_dir, "events"), ["event_type"], "ts", "user_id", "value").write.parquet(kept)
+    days = {"first": date(2024, 1, 8), "last": date(2024, 1, 21)}
+    by_kind, whole = (merge_sketches(spark.read.parquet(kept), by, [50, 90, 99], **days) for by in (["event_type"], []))
+    return by_kind.unionByName(whole, allowMissingColumns=True)
+
+
+def user_sessions(spark, sf_dir):
+    return sessions(table(spark, sf_dir, "events"), "user_id", "ts", gap_seconds=6 * 3600)
+
+
+def sessions_streamed(spark, sf_dir):
+    """Sessions of the streamed feed that end before the watermark, three days before its last event; a purchase counts for both sides."""
+    folder = scratch_path(spark, "arriving")
+    table(spark, sf_dir, "events").write.parquet(folder)
+    spec = {**job_spec(sf_dir), "outputs": {"sessions": {"path": scratch_path(spark, "sessions")}}}
+    spec["data_sources"] = {**spec["data_sources"], "transactions": {"path": folder}}
+    run_sessions(spark, spec, gap_seconds=6 * 3600, late_seconds=3 * 86_400)
+    return read_sessions(spark, spec)
+
+
+def bucketed_latest(spark, sf_dir):
+    """Latest events of active parties, both kept as catalog tables bucketed by party."""
+    spec = {"outputs": {}, "data_sources": {}}
+    for name, rows in (("events", feed(spark, sf_dir)), ("active", active_of(spark, sf_dir))):
+        place = {"table": f"{name}_{uuid4().hex}", "bucket_by": PARTY, "buckets": 8}
+        place["options_override"] = {"path": scratch_path(spark, name)}
+        spec["outputs"][name] = {**place, "output_type": "catalog_table"}
+        spec["data_sources"][name] = {"table": place["table"], "source_type": "catalog_table"}
+        write_output(rows, spec, name)
+    return latest_event(read_source(spark, spec, "events"), read_source(spark, spec, "active"))
+
+
 def load_metrics(spark, sf_dir):
     """Rows per stage, observed while the flagship runs once; one stage turns out empty."""
     count = StageCounts()
@@ -526,6 +586,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_changes": snapshot_changes,
         "snapshot_applied": snapshot_applied,
         "job_streamed": job_streamed,
+        "transaction_totals": transaction_totals,
+        "moving_week": moving_week,
+        "merged_sketches": merged_sketches,
+        "user_sessions": user_sessions,
+        "sessions_streamed": sessions_streamed,
+        "bucketed_latest": bucketed_latest,
         "job_range_run": job_range_run,
         "job_resumed_run": job_resumed_run,
         "job_rerun": job_rerun,
@@ -650,6 +716,51 @@ def own_oracle_sql() -> dict[str, str]:
         "snapshot_applied": f"""
             WITH {_FEED}, {_DAYS}, {_AS_OF}
             SELECT msisdn, event_date, event_category FROM known WHERE rn = 1 AND day = DATE '2024-01-20'""",
+        "transaction_totals": f"""
+            WITH {_TX}
+            SELECT ch AS channel, scat AS category, CAST(ts AS DATE) AS sent,
+                   CAST(grouping(ch, scat, CAST(ts AS DATE)) AS BIGINT) AS grouping_id,
+                   count(*) AS n, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day
+            FROM tx GROUP BY GROUPING SETS (
+              (ch, scat, CAST(ts AS DATE)), (ch, scat), (ch, CAST(ts AS DATE)), (scat), ())""",
+        "moving_week": """
+            WITH days AS (
+              SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(floor(value * 100) AS BIGINT)) AS cents,
+                     max(value) AS largest
+              FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL)
+            SELECT user_id, day, CAST(sum(n) OVER week AS BIGINT) AS n, CAST(sum(cents) OVER week AS BIGINT) AS cents,
+                   max(largest) OVER week AS largest
+            FROM days WINDOW week AS (
+              PARTITION BY user_id ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""",
+        "merged_sketches": """
+            WITH ev AS (
+              SELECT event_type, user_id, value FROM events
+              WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'),
+            every AS (SELECT 0 AS whole, * FROM ev UNION ALL SELECT 1, NULL, user_id, value FROM ev),
+            placed AS (SELECT *, row_number() OVER (PARTITION BY whole, event_type ORDER BY value) AS place,
+                              count(*) OVER (PARTITION BY whole, event_type) AS size
+                       FROM every WHERE value IS NOT NULL),
+            counted AS (SELECT whole, event_type, count(*) AS events, count(DISTINCT user_id) AS keys FROM every GROUP BY ALL)
+            SELECT c.event_type, events, keys, true AS keys_exact, true AS values_exact,
+                   min(value) FILTER (WHERE 100 * place >= 50 * size) AS p50,
+                   min(value) FILTER (WHERE 100 * place >= 90 * size) AS p90,
+                   min(value) FILTER (WHERE 100 * place >= 99 * size) AS p99
+            FROM counted c LEFT JOIN placed p ON c.whole = p.whole AND c.event_type IS NOT DISTINCT FROM p.event_type
+            GROUP BY c.whole, c.event_type, events, keys""",
+        "user_sessions": f"""
+            WITH {_sessions("events", "user_id", "ts")}
+            SELECT user_id, min(moment) AS first_event, max(moment) AS last_event, count(*) AS events
+            FROM runs GROUP BY user_id, run""",
+        "sessions_streamed": f"""
+            WITH {_JOB_FEED.partition("WHERE event_type")[0]} WHERE event_type IN ('click', 'view', 'purchase')
+              UNION ALL SELECT CAST(user_id AS VARCHAR), ts, event_type FROM events WHERE event_type = 'purchase'),
+            {_sessions("ev", "msisdn", "event_date")}
+            SELECT msisdn, min(moment) AS first_event, max(moment) AS last_event, count(*) AS events
+            FROM runs GROUP BY msisdn, run
+            HAVING max(moment) + INTERVAL 6 HOURS <= (SELECT max(event_date) FROM ev) - INTERVAL 3 DAYS""",
+        "bucketed_latest": f"""
+            WITH {_FEED}
+            SELECT msisdn, event_date, event_category FROM ({_RANKED} WHERE msisdn IN ({_ACTIVE})) WHERE rn = 1""",
         "job_streamed": f"""
             WITH {_JOB_FEED}, {_DAYS}, {_AS_OF}
             SELECT msisdn AS party_id, event_date AS zb_last_transaction_date, event_category AS zb_user_category,
@@ -746,6 +857,16 @@ def own_oracle_sql() -> dict[str, str]:
     }
 
 
+def _sessions(rows: str, key: str, time: str) -> str:
+    return f"""
+        starts AS (
+          SELECT {key}, {time} AS moment,
+                 CASE WHEN {time} <= lag({time}) OVER (PARTITION BY {key} ORDER BY {time}) + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS new
+          FROM {rows} WHERE {key} IS NOT NULL AND {time} IS NOT NULL),
+        runs AS (
+          SELECT *, sum(new) OVER (PARTITION BY {key} ORDER BY moment RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM starts)"""
+
+
 def _date_range(party: str) -> str:
     return f"""
         SELECT {party} AS sender_msisdn, {party} AS receiver_msisdn, ts AS transaction_date,

@@ -1,0 +1,107 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from tests.test_late import spec_of
+from tidemark.operators import sessions
+from tidemark.plans import read_sessions, run_sessions
+
+START = datetime(1969, 12, 31, 12)
+HOUR, FIRST = timedelta(hours=1), datetime(2024, 1, 1)
+
+
+def brute(rows, gap):
+    """Sessions as `key, first, last, events`."""
+    out = []
+    for key in {k for k, _ in rows if k is not None}:
+        run = []
+        for at in [*sorted(at for k, at in rows if k == key and at is not None), None]:
+            if run and (at is None or at - run[-1] > gap):
+                out.append((key, run[0], run[-1], len(run)))
+                run = []
+            run.append(at)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize(("gap", "slot"), [(3600, 86_400), (3600, 600), (60, 7200), (10**6, 3600)])
+def test_against_brute_force(spark, kind, gap, slot):
+    pick = random.Random(gap + slot)
+    rows = [("hot" if pick.random() < 0.4 else pick.choice("abc"), START + timedelta(seconds=60 * pick.randrange(5000))) for _ in range(500)]
+    rows += [*rows[:9], (None, START), ("a", None), ("edge", START), ("edge", START + timedelta(seconds=gap))]
+    found = sessions(spark.createDataFrame(rows, f"k string, at {kind}"), "k", "at", gap_seconds=gap, slot_seconds=slot)
+    assert sorted(map(tuple, found.collect())) == brute(rows, timedelta(seconds=gap))
+
+
+def test_no_window_over_a_whole_key_of_rows(spark):
+    df = sessions(spark.createDataFrame([("a", START)], "k string, at timestamp"), "k", "at")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert any("_slot" in line for line in windows) and plan.rindex("Aggregate") > plan.rindex("Window [")
+    assert sessions(df.sparkSession.createDataFrame([], "k string, at timestamp"), "k", "at").isEmpty()
+    with pytest.raises(ValueError, match="at least a second"):
+        sessions(df, "k", "first_event", gap_seconds=0)
+
+
+def prepared(spark, tmp_path):
+    spec = spec_of(tmp_path, "arriving")
+    spec["outputs"]["sessions"] = {"path": f"{tmp_path}/sessions"}
+    return spec
+
+
+def arrive(spark, tmp_path, *moments):
+    """One file of events that each have a party and an hour."""
+    rows = [(party, "", FIRST + hour * HOUR, "A", "A", "C2S") for party, hour in moments]
+    frame = spark.createDataFrame(rows, "s string, r string, d timestamp, sc string, rc string, c string")
+    frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/arriving")
+
+
+def written(spark, spec):
+    hours = lambda at: (at - FIRST) / HOUR
+    return sorted((r.msisdn, hours(r.first_event), hours(r.last_event), r.events) for r in read_sessions(spark, spec).collect())
+
+
+def run(spark, spec):
+    run_sessions(spark, spec, gap_seconds=2 * 3600, late_seconds=10 * 3600)
+
+
+def test_late_events_inside_and_beyond_the_watermark(spark, tmp_path):
+    spec = prepared(spark, tmp_path)
+    arrive(spark, tmp_path, ("p", 0), ("p", 1), ("p", 12), ("q", 20))
+    run(spark, spec)  # the watermark is at 10
+    assert written(spark, spec) == [("p", 0, 1, 2)]
+    # Beyond: 7 ends at 9. Inside: 9 ends at 11, and 10.5 joins it and the open one at 12 to one session.
+    arrive(spark, tmp_path, ("p", 7), ("p", 9), ("p", 10.5), ("q", 19))
+    run(spark, spec)
+    assert written(spark, spec) == [("p", 0, 1, 2)]
+    arrive(spark, tmp_path, ("r", 40))
+    run(spark, spec)  # the watermark is at 30
+    done = [("p", 0, 1, 2), ("p", 9, 12, 3), ("q", 19, 20, 2)]
+    assert written(spark, spec) == done
+    run(spark, spec)  # nothing new
+    assert written(spark, spec) == done
+
+
+def test_equals_the_batch_operator_if_nothing_is_late(spark, tmp_path):
+    spec, pick, every = prepared(spark, tmp_path), random.Random(5), []
+    for batch in range(4):
+        some = [(pick.choice("pqrs"), 8 * batch + pick.randrange(0, 800) / 100) for _ in range(40)]
+        every += some
+        arrive(spark, tmp_path, *some)
+        run(spark, spec)
+    arrive(spark, tmp_path, ("end", 1000))
+    run(spark, spec)
+    rows = [(party, FIRST + hour * HOUR) for party, hour in every]
+    expected = [(k, (a - FIRST) / HOUR, (b - FIRST) / HOUR, n) for k, a, b, n in brute(rows, 2 * HOUR)]
+    assert written(spark, spec) == expected and len(expected) > 8
+
+
+def test_nothing_ended_and_no_place(spark, tmp_path):
+    spec = prepared(spark, tmp_path)
+    arrive(spark, tmp_path, ("p", 0))
+    run(spark, spec)
+    assert written(spark, spec) == []
+    del spec["outputs"]["sessions"]
+    with pytest.raises(ValueError, match="sessions needs a path"):
+        run(spark, spec)

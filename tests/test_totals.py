@@ -1,0 +1,80 @@
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from tidemark.operators import moving_totals, totals_by
+
+SCHEMA = "a string, b string, at timestamp, v long"
+
+
+def rows(seed, n=300):
+    pick = random.Random(seed)
+    name = lambda: None if pick.random() < 0.1 else "hot" if pick.random() < 0.4 else pick.choice("xyz")
+    at = lambda: datetime(1969, 12, 25, 12) + timedelta(hours=pick.randrange(500))
+    value = lambda: None if pick.random() < 0.1 else pick.randrange(-9, 10)
+    return [(name(), name(), None if pick.random() < 0.05 else at(), value()) for _ in range(n)]
+
+
+MEASURES = {"n": ("count", "*"), "known": ("count", "v"), "total": ("sum", "v"), "least": ("min", "v"), "most": ("max", "v")}
+
+
+def measured(values):
+    known = [v for v in values if v is not None]
+    return (len(values), len(known), *((sum(known), min(known), max(known)) if known else (None,) * 3))
+
+
+def test_sets_against_plain_groups(spark):
+    data, sets = rows(1), [["a", "b"], ["b"], ["a"], []]
+    expected = []
+    for each in sets:
+        groups = {}
+        for a, b, _, v in data:
+            groups.setdefault((a if "a" in each else None, b if "b" in each else None), []).append(v)
+        number = 2 * ("a" not in each) + ("b" not in each)
+        expected += [(*group, number, *measured(values)) for group, values in groups.items()]
+    found = totals_by(spark.createDataFrame(data, SCHEMA), sets, MEASURES)
+    assert found.columns == ["a", "b", "grouping_id", *MEASURES]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+
+
+def test_rows_are_read_and_expanded_once(spark, tmp_path):
+    spark.createDataFrame(rows(2), SCHEMA).write.parquet(f"{tmp_path}/t")
+    df = totals_by(spark.read.parquet(f"{tmp_path}/t"), [["a", "b"], ["a"], []], {"n": ("count", "*")})
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+    # The expansion comes above the first aggregate.
+    assert plan.index("Expand") < plan.index("partial_count(1)")
+    assert "v:" not in plan.partition("ReadSchema")[2]
+
+
+@pytest.mark.parametrize("days", [1, 3, 7])
+def test_moving_days_against_brute_force(spark, days):
+    data = rows(days)
+    known = [(a, at.date(), v) for a, _, at, v in data if a is not None and at is not None]
+    expected = []
+    for key, day in {row[:2] for row in known}:
+        window = [v for a, d, v in known if a == key and day - timedelta(days=days) < d <= day]
+        expected.append((key, day, *measured(window)))
+    found = moving_totals(spark.createDataFrame(data, SCHEMA), "a", "at", MEASURES, days=days)
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+    assert any(row[1] < date(1970, 1, 1) for row in expected)
+
+
+def test_no_window_over_rows(spark):
+    plan = moving_totals(spark.createDataFrame(rows(3), SCHEMA), "a", "at", {"n": ("count", "*")})
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    window = plan.index("Window")
+    assert "HashAggregate" in plan[window:] and "partial_count(1)" in plan[window:]
+
+
+def test_empty_and_refused(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert totals_by(empty, [["a"], []], MEASURES).isEmpty()
+    assert moving_totals(empty, "a", "at", MEASURES).isEmpty()
+    with pytest.raises(ValueError, match="no columns"):
+        totals_by(empty, [[]], MEASURES)
+    with pytest.raises(ValueError, match="median"):
+        totals_by(empty, [["a"]], {"m": ("median", "v")})
+    with pytest.raises(ValueError, match="at least one day"):
+        moving_totals(empty, "a", "at", MEASURES, days=0)

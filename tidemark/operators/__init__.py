@@ -15,6 +15,8 @@ from tidemark.operators.latest import (
 )
 from tidemark.operators.metrics import StageCounts, whole_plans
 from tidemark.operators.ranking import rank_events
+from tidemark.operators.sessions import sessions
+from tidemark.operators.sketches import daily_sketches, merge_sketches
 from tidemark.operators.snapshots import (
     advance_state,
     daily_snapshots,
@@ -22,6 +24,7 @@ from tidemark.operators.snapshots import (
     newest_per_category_and_day,
     validity,
 )
+from tidemark.operators.totals import moving_totals, totals_by
 
 __all__ = [
     "StageCounts",
@@ -29,6 +32,7 @@ __all__ = [
     "apply_difference",
     "asof_join",
     "catchup_days",
+    "daily_sketches",
     "daily_snapshots",
     "each_day",
     "expand_days",
@@ -37,6 +41,8 @@ __all__ = [
     "latest_event",
     "latest_first",
     "latest_per_key",
+    "merge_sketches",
+    "moving_totals",
     "newest_per_category",
     "newest_per_category_and_day",
     "only_parties",
@@ -44,7 +50,9 @@ __all__ = [
     "processing_days",
     "processing_range",
     "rank_events",
+    "sessions",
     "snapshot_difference",
+    "totals_by",
     "union_events",
     "validity",
     "whole_plans",

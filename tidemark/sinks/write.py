@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tidemark.sources.connections import connection, merge_options, mongo_options
-from tidemark.sources.read import FILE_TYPES, JDBC_TYPES, LANDING_TYPES
+from tidemark.sources.read import FILE_TYPES, JDBC_TYPES, LANDING_TYPES, TABLE_TYPE
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -63,6 +63,8 @@ def write_output(
     except KeyError:
         raise ValueError(f"output {name!r} is not defined") from None
     kind = output_type(entry)
+    if kind == TABLE_TYPE and not entry.get("table"):
+        raise ValueError(f"output {name!r} has no table")
     own = {k: v for k, v in {**(entry.get("options_override") or {}), **kwargs}.items() if v is not None}
     mode = own.pop("mode", None) or entry.get("mode") or ("append" if kind in LANDING_TYPES else "overwrite")
     if mode not in MODES:
@@ -82,11 +84,32 @@ def write_output(
         _write_files(df, kind.removesuffix("_file"), _required(entry, "path", name), mode, entry, own, rebalance)
     elif kind in LANDING_TYPES:
         _write_files(df, LANDING_TYPES[kind], _required(entry, "remote_base_path", name), mode, entry, own, rebalance)
+    elif kind == TABLE_TYPE:
+        _write_table(df, mode, entry, own)
     else:
         raise NotImplementedError(f"output type {kind!r}")
     return True
 
 
+def _write_table(df: DataFrame, mode: str, entry: Mapping[str, Any], options: Mapping[str, Any]) -> None:
+    """A table of the session's catalog, in `buckets` buckets by `bucket_by` if stated, each sorted by `sort_by`.
+
+    Rows are dealt to the buckets by one shuffle, so a bucket is one file and later joins and aggregates by those
+    columns need none. A bucket is read by one task: a key with a large share of all rows makes a large
+    one, so bucket by that key only what is joined by it row for row, and give enough buckets for a file to fit a task.
+    """
+    columns = [entry["bucket_by"]] if isinstance(entry.get("bucket_by"), str) else list(entry.get("bucket_by") or [])
+    order = [entry["sort_by"]] if isinstance(entry.get("sort_by"), str) else list(entry.get("sort_by") or columns)
+    if not columns:
+        df.write.mode(mode).options(**options).saveAsTable(entry["table"])
+        return
+    buckets = int(entry.get("buckets") or 0)
+    if buckets < 1:
+        raise ValueError(f"table {entry['table']!r} is bucketed without a number of buckets")
+    writer = df.repartition(buckets, *columns).write.mode(mode).options(**options)
+    writer.bucketBy(buckets, *columns).sortBy(*order).saveAsTable(entry["table"])
+
+
 def _write_files(
     df: DataFrame,
     file_format: str,

@@ -15,6 +15,7 @@ from tidemark.sources.connections import connection, merge_options, mongo_option
 JDBC_TYPES = ("jdbc_table", "mariadb_table", "mysql_table", "postgres_table", "sqlserver_table")
 FILE_TYPES = ("parquet_file", "csv_file", "json_file", "orc_file")
 LANDING_TYPES = {"sftp_file": "text", "sftp_csv": "csv", "sftp_parquet": "parquet"}
+TABLE_TYPE = "catalog_table"
 _JDBC_DATABASES = ("mariadb", "mysql", "postgres", "sqlserver", "jdbc")
 
 
@@ -59,6 +60,11 @@ def read_source(spark: SparkSession, spec: Mapping[str, Any], name: str, **kwarg
             raise ValueError(f"source {name!r} needs a table or a query")
         return jdbc.read_table(spark, options, entry["table"])
 
+    if kind == TABLE_TYPE:
+        if not entry.get("table"):
+            raise ValueError(f"source {name!r} has no table")
+        return spark.read.options(**own).table(entry["table"])
+
     schema = _schema(take("schema", None))
     if kind == "mongo_collection":
         pipeline = take("pipeline", None)
