@@ -3,11 +3,12 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.compression_quality import fit_quality, quality
 from tidemark.llm.pu_toxicity import _train, fit_toxicity, toxicity, word_features
 from tidemark.llm.queries import queries
-from tidemark.llm.training import fit_logistic, labelled_sample, remainder, sigmoid
+from tidemark.llm.training import fit_logistic, labelled_sample, remainder, sigmoid, thinned
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, score string, label string, row string"
@@ -22,6 +23,18 @@ def test_labelled_sample(spark):
     assert len(few) == 20 and sum(r.label for r in few) == 10
 
 
+@pytest.mark.parametrize("n", [0, 1, 50, 3000, 10**6])
+def test_thinned_keeps_those_of_least_hash(spark, n):
+    """Few rows are left to sort, and the sample is that of all rows, copies included."""
+    hashed = F.xxhash64("id")
+    df = spark.range(20_000).unionByName(spark.range(3000).select((F.col("id") % 30).alias("id")))
+    least = lambda rows: [r.id for r in rows.orderBy(hashed, "id").limit(n).collect()]
+    left = thinned(df, hashed, n)
+    assert least(left) == least(df)
+    assert min(n, 23_000) <= left.count() <= n + 110  # a cell holds about one row in three, or a row and its copies
+    assert thinned(df.limit(0), hashed, n).isEmpty()
+
+
 def test_remainder(spark):
     got = spark.range(50).select("id", remainder("id", 5).alias("r")).collect()
     assert all(r.r == zlib.crc32(str(r.id).encode()) % 5 for r in got)
