@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 ENCODED = "n_tokens long, ids binary, decoded_sha256 string"
 _WINDOW = 1 << 20  # characters split into matches at a time
-_STATES = 150_000  # determinised states kept; beyond, the table is begun anew
-_MATCHES = 200_000  # matches whose output is remembered; beyond, begun anew
+_STATES = 400_000  # determinised states kept; beyond, the table is begun anew
+_MATCHES = 400_000  # matches whose output is remembered; beyond, begun anew
 _PAIRS = 400_000  # verdicts on neighbouring tokens kept; beyond, begun anew
 _SMALL = 4  # tokens below a trie node up to which dead readings are sought
 _BREAK = regex.compile(r"(?<=\S)\s")
