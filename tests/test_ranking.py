@@ -51,6 +51,33 @@ def test_burst_hour_of_one_party(spark, monkeypatch, time_type):
     assert "REBALANCE" not in plan
 
 
+def shuffled_rows(df):
+    """Rows written to shuffles by a query that has run."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleRecordsWritten").value()
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_parties_of_common_size_are_shuffled_twice(spark):
+    """Once to count equal events and once to rank; before, rows per hour were shuffled three times more."""
+    rows = [(f"p{i % 700}", date(2024, 1, 1) + timedelta(days=i // 700), "AB"[i % 2]) for i in range(21_000)]
+    df = spark.createDataFrame(rows, "msisdn string, event_date date, event_category string")
+    ranked = rank_events(df)
+    assert len(ranked.collect()) == len(rows)
+    assert 2 * len(rows) <= shuffled_rows(ranked) < 2.5 * len(rows)
+
+
 def test_dates(spark):
     check(spark, [(p, date(2024, 1, 1 + i % 5), "BA"[i % 2]) for i in range(20) for p in "xy"], "date")
 
