@@ -5,9 +5,9 @@ import pytest
 
 from tidemark.llm.components import components
 from tidemark.llm.near_duplicates import Sampler, Weigher, classes, common_shingles, deduplicate, near_duplicates
-from tidemark.llm.near_duplicates import _prefix_pairs, weighted_jaccard
+from tidemark.llm.near_duplicates import _prefix_pairs, _sketcher, frequencies, tf_idf, weighted_jaccard
 from tidemark.llm.queries import queries
-from tidemark.llm.shingles import words
+from tidemark.llm.shingles import WordHashes, words
 
 SCHEMA = "doc_id long, text string, row string, class_id string, label string"
 
@@ -102,6 +102,42 @@ def test_common_shingles_are_found(spark, rows):
     assert np.allclose(idf, np.log(len(rows) / n[often]) / np.log(10))
 
 
+def test_draws_weigh_all_shingles_by_idf(spark, rows):
+    """Every shingle's document frequency counts, not only that of common ones, over several tasks."""
+    docs = spark.createDataFrame(rows, SCHEMA).select("text").repartition(5)
+    weigh = Weigher(5, (np.empty(0, np.uint64), np.empty(0)))
+    sets = [weigh(words(t)) for _, t, *_ in rows]
+    each, n = np.unique(np.concatenate([hashes for hashes, _ in sets]), return_counts=True)
+    idf = dict(zip(each.tolist(), 1 + np.log((1 + len(rows)) / (1 + n))))
+    assert len({round(x, 6) for x in idf.values()}) > 8
+    every = frequencies(docs, 5, 0.1)[1]
+    exact = []
+    for (_, text, *_), (hashes, counts) in zip(rows, sets):
+        own, weights = tf_idf(WordHashes(), words(text), 5, every)
+        expected = counts * [idf[h] for h in hashes.tolist()]
+        assert (own == hashes).all() and (weights <= expected * 1.00001).all()
+        exact += np.isclose(weights, expected, rtol=1e-5).tolist()
+    assert np.mean(exact) > 0.998  # the rest share both cells with others
+
+
+def test_widespread_passage_brings_few_candidates(spark):
+    """Texts that share only a passage of a twentieth of all texts agree on fewer bands than their plain similarity makes them."""
+    pick = random.Random(12)
+    text = lambda n: [f"w{pick.randrange(1 << 30)}" for _ in range(n)]
+    passage = text(104)
+    texts = [text(100) + passage for _ in range(60)] + [text(100) for _ in range(1140)]
+    docs = spark.createDataFrame([(" ".join(t),) for t in texts], "text string")
+    every = frequencies(docs, 5, 0.1)[1]
+    sets = [tf_idf(WordHashes(), words(" ".join(t)), 5, every) for t in texts[:60]]
+    plain = Weigher(5, (np.empty(0, np.uint64), np.empty(0)))
+    expected = weighted_jaccard(sets[0], sets[1])
+    assert expected < 0.22 < 0.33 < weighted_jaccard(*(plain(words(" ".join(t))) for t in texts[:2]))
+    drawn = docs.limit(60).select(_sketcher(5, every, 200, 1)("text").alias("drawn")).select("drawn.bands").collect()
+    drawn = np.array([row.bands for row in drawn])
+    agree = np.mean([(drawn[i] == drawn[j]).mean() for i in range(60) for j in range(i)])
+    assert abs(agree - expected) < 0.05
+
+
 def test_empty_and_long(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_duplicates(empty).count() == 0 and deduplicate(empty).count() == 0
