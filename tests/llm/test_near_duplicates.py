@@ -7,7 +7,7 @@ from tidemark.llm.components import components
 from tidemark.llm.near_duplicates import Sampler, Weigher, classes, common_shingles, deduplicate, near_duplicates
 from tidemark.llm.near_duplicates import _prefix_pairs, _sketcher, frequencies, tf_idf, weighted_jaccard
 from tidemark.llm.queries import queries
-from tidemark.llm.shingles import WordHashes, words
+from tidemark.llm.shingles import WordHashes, mixed, words
 
 SCHEMA = "doc_id long, text string, row string, class_id string, label string"
 
@@ -218,3 +218,37 @@ def test_query(spark):
     links = [(a, b) for a, b in pairs if weighted_jaccard(sets[a], sets[b]) >= 0.8]
     assert len(links) > 20
     assert got == closure(sorted(sets), links)
+
+
+def test_draws_of_many_sets_go_in_blocks():
+    """Sets drawn from together draw what each draws alone, block by block and not set by set."""
+    pick, sample = np.random.default_rng(6), Sampler(8)
+    sizes = [0, 1, 3, 0, 5000, *pick.integers(1, 60, 200), 0, 1, 4096, 0]
+    sets = [(pick.integers(0, 1 << 63, n).astype(np.uint64), pick.random(n) * 4 + 0.1) for n in sizes]
+    alone = [sample(*one) for one in sets]
+    blocks, values = [], sample._values
+    sample._values = lambda own, logs: blocks.append(len(own)) or values(own, logs)
+    assert (sample.of_all(sets) == np.array(alone)).all()
+    assert sum(blocks) == sum(sizes) and len(blocks) <= sum(sizes) / 2048 + 1
+    # By the formula, one shingle at a time.
+    for (own, weights), drawn in zip(sets[1:3], alone[1:3]):
+        value, shingle = np.full(8, np.inf), np.zeros(8, np.uint64)
+        for one, weight in zip(own, weights):
+            bits = mixed(one ^ sample.seeds)
+            r, c = sample.gamma[bits % 65536], sample.log_gamma[bits // 65536 % 65536]
+            b = (bits // (1 << 32) % 65536).astype(np.float32) / np.float32(65536)
+            t = np.floor(np.float32(np.log(weight)) / r + b)
+            least = c - r * (t + 1 - b) < value
+            value = np.where(least, c - r * (t + 1 - b), value)
+            shingle = np.where(least, mixed(one ^ mixed(t.astype(np.int64).view(np.uint64) + np.uint64(1))), shingle)
+        assert (shingle == drawn).all()
+
+
+def test_word_hashes_are_not_remembered():
+    table = WordHashes()
+    known = [b"a", b"word", b"a", "größe".encode()]
+    assert table.of([]).tolist() == []
+    # The published value of XXH3 for one letter, and equal words alike.
+    found = table.of(known)
+    assert found[0] == found[2] == 0xE6C632B61E964E1F and len(set(found.tolist())) == 3
+    assert not vars(table)

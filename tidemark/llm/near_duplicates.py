@@ -41,12 +41,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bitmap import Bitmap
 from tidemark.llm.components import components
-from tidemark.llm.shingles import WordHashes, mixed, shingles, words
+from tidemark.llm.shingles import WordHashes, mixed, mixed_pairs, shingles, words
 from tidemark.llm.tables import saved
 
 _BLOCK = 1 << 21  # shingles counted at a time when common ones are sought
 _LEAST_IDF = 0.99  # links at a weighted 0.8 all pairs that are at 0.802 unweighted, however common their text
-_ROWS = 4096  # shingles drawn from at a time
+_ROWS = 2048  # shingles drawn from at a time
+_HELD = 1 << 16  # shingles of texts that are drawn from together
+_LOW = np.uint64(0xFFFF)
+_B_SCALE = np.float32(1 / 65536)
 _CENTRES = 3  # members of a band that all others are compared with in the first turn
 _CELL_BITS = 20  # document frequencies are counted in 2 ** 20 cells, twice
 _CHUNK = 1 << 13  # cells in one row
@@ -205,34 +208,83 @@ class Sampler:
         at = (np.arange(1 << 16) + 0.5) / (1 << 16)
         self.gamma = np.interp(at, -np.expm1(-x + np.log1p(x)), x).astype(np.float32)
         self.log_gamma = np.log(self.gamma)
+        # Work space, so that a block stays in the processor's cache; one row per draw.
+        self.whole = [np.empty(draws * _ROWS, np.uint64) for _ in range(3)]
+        self.real = [np.empty(draws * _ROWS, np.float32) for _ in range(5)]
 
     def __call__(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        logs = np.log(weights).astype(np.float32)
-        best = np.full(len(self.seeds), np.inf, np.float32)
-        drawn = np.zeros(len(self.seeds), np.uint64)
-        columns = np.arange(len(self.seeds))
-        low, b_scale = np.uint64(0xFFFF), np.float32(1 / 65536)
+        return self.of_all([(hashes, weights)])[0]
+
+    def of_all(self, sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The draws of each weighted set, a row per set. Blocks go across sets."""
+        hashes = np.concatenate([own for own, _ in sets])
+        logs = np.log(np.concatenate([weights for _, weights in sets])).astype(np.float32)
+        ends = np.cumsum([len(own) for own, _ in sets])
+        best = np.full((len(sets), len(self.seeds)), np.inf, np.float32)
+        drawn = np.zeros((len(sets), len(self.seeds)), np.uint64)
+        each = np.arange(len(self.seeds))
         for start in range(0, len(hashes), _ROWS):
             own = hashes[start : start + _ROWS]
-            bits = mixed(own[:, None] ^ self.seeds)
-            r = self.gamma[bits & low]
-            b = ((bits >> np.uint64(32)) & low).astype(np.float32) * b_scale
-            t = np.floor(logs[start : start + _ROWS, None] / r + b)
-            value = self.log_gamma[(bits >> np.uint64(16)) & low] - r * (t + 1 - b)
-            row = value.argmin(axis=0)
-            least = value[row, columns]
-            better = least < best
-            best = np.where(better, least, best)
-            level = t[row, columns].astype(np.int64).view(np.uint64)
-            drawn = np.where(better, mixed(own[row] ^ mixed(level + np.uint64(1))), drawn)
+            t, value = self._values(own, logs[start : start + _ROWS])
+            # The sets that this block holds, or a part of them.
+            first, last = np.searchsorted(ends, (start, start + len(own) - 1), "right")
+            cuts = np.clip(ends[first : last + 1] - start, 0, len(own)).tolist()
+            at = np.empty((len(cuts), len(each)), np.intp)
+            begin = 0
+            for i, cut in enumerate(cuts):
+                if begin < cut:
+                    np.add(value[:, begin:cut].argmin(axis=1), begin, out=at[i])
+                else:  # an empty set
+                    at[i] = -1
+                begin = cut
+            least = np.where(at < 0, np.float32(np.inf), value[each, at])
+            better = least < best[first : last + 1]
+            level = t[each, at].astype(np.int64).view(np.uint64)
+            np.copyto(best[first : last + 1], least, where=better)
+            np.copyto(drawn[first : last + 1], mixed(own[at] ^ mixed(level + np.uint64(1))), where=better)
         return drawn
 
+    def _values(self, own: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """t and the value to be least, for each draw (row) and shingle."""
+        shape = (len(self.seeds), len(own))
+        size = len(self.seeds) * len(own)
+        bits, spare, part = (space[:size].reshape(shape) for space in self.whole)
+        r, b, t, after, value = (space[:size].reshape(shape) for space in self.real)
+        mixed_pairs(self.seeds, own, bits, spare)
+        np.bitwise_and(bits, _LOW, out=part)
+        np.take(self.gamma, part.view(np.int64), out=r, mode="clip")
+        np.right_shift(bits, np.uint64(16), out=spare)
+        np.bitwise_and(spare, _LOW, out=part)
+        np.take(self.log_gamma, part.view(np.int64), out=value, mode="clip")
+        np.right_shift(bits, np.uint64(32), out=spare)
+        np.bitwise_and(spare, _LOW, out=part)
+        np.copyto(b, part, casting="unsafe")
+        np.multiply(b, _B_SCALE, out=b)
+        np.divide(logs, r, out=t)
+        np.add(t, b, out=t)
+        np.floor(t, out=t)
+        np.add(t, np.float32(1), out=after)
+        np.subtract(after, b, out=after)
+        np.multiply(r, after, out=after)
+        np.subtract(value, after, out=value)
+        return t, value
+
 
 def _sketcher(size: int, every: Frequencies, bands: int, rows: int) -> Callable:
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table, sample = WordHashes(), Sampler(bands * rows)
+        seeds = np.arange(1, bands + 1, dtype=np.uint64)
+
+        def keys_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+            drawn = sample.of_all(sets).reshape(len(sets), bands, rows)
+            value = np.broadcast_to(seeds, (len(sets), bands))
+            for i in range(rows):
+                value = mixed(value ^ drawn[:, :, i])
+            return list(value.view(np.int64))
+
         for batch in texts:
-            digests, keys = [], []
+            digests, keys, sets, held = [], [], [], 0
+            places = []  # of the texts whose sets are held
             for text in batch:
                 found = words(text)
                 if not found:
@@ -240,11 +292,17 @@ def _sketcher(size: int, every: Frequencies, bands: int, rows: int) -> Callable:
                     keys.append([])
                     continue
                 digests.append(blake2b(b" ".join(found), digest_size=16).digest())
-                drawn = sample(*tf_idf(table, found, size, every)).reshape(bands, rows)
-                value = np.arange(1, bands + 1, dtype=np.uint64)
-                for i in range(rows):
-                    value = mixed(value ^ drawn[:, i])
-                keys.append(value.view(np.int64))
+                sets.append(tf_idf(table, found, size, every))
+                places.append(len(keys))
+                keys.append(None)
+                held += len(sets[-1][0])
+                if held >= _HELD:
+                    for at, value in zip(places, keys_of(sets)):
+                        keys[at] = value
+                    sets, places, held = [], [], 0
+            if sets:
+                for at, value in zip(places, keys_of(sets)):
+                    keys[at] = value
             yield pd.DataFrame({"digest": digests, "bands": keys})
 
     return F.pandas_udf(sketch, "digest binary, bands array<long>")

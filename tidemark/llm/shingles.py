@@ -9,7 +9,6 @@ import xxhash
 _FOLD = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
 )
-_KEPT = 500_000  # word hashes remembered; beyond, begun anew
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -18,17 +17,11 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(_FOLD).split() if text else []
 
 
-class WordHashes(dict):
-    """Word -> 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class WordHashes:
+    """64-bit hashes of words. None is remembered: a look-up takes longer than the hash."""
 
     def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+        return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, found)), ">u8").astype(np.uint64)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -38,6 +31,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+def mixed_pairs(seeds: np.ndarray, values: np.ndarray, out: np.ndarray, spare: np.ndarray) -> None:
+    """`mixed(seed ^ value)` of all pairs into `out`, a row per seed; `spare` is work space of the same shape."""
+    # The first step is linear in xor, so it needs no pass over the pairs.
+    first = np.uint64(31)
+    np.bitwise_xor((seeds ^ (seeds >> first))[:, None], values ^ (values >> first), out=out)
+    for shift in (29, 32):
+        np.multiply(out, _MIX, out=out)
+        np.right_shift(out, np.uint64(shift), out=spare)
+        np.bitwise_xor(out, spare, out=out)
+
+
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash for each run of `size` words; none if there are fewer words."""
     count = len(hashes) - size + 1
