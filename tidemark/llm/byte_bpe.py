@@ -18,7 +18,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +25,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.worker import kept
+
 ENCODED = "n_tokens long, ids binary, decoded_sha256 string"
 _WINDOW = 1 << 20  # characters split into matches at a time
 _STATES = 400_000  # determinised states kept; beyond, the table is begun anew
@@ -316,10 +317,13 @@ class Utf8Stream:
             raise ValueError("a character is cut off")
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    return Codec(load_ranks(path), pattern)
+    """One codec per worker process, of the last vocabulary, while its tasks follow each other."""
+    tables = kept("byte_bpe")
+    if (path, pattern) not in tables:
+        tables.clear()
+        tables[path, pattern] = Codec(load_ranks(path), pattern)
+    return tables[path, pattern]
 
 
 def decode_text(coder: Codec, packed: Iterable[bytes]) -> Iterator[str]:

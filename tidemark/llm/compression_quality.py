@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,10 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.training import fit_logistic, labelled_sample, sigmoid
+from tidemark.llm.worker import kept
 
 BLOCK = 512  # bytes compressed at a time: the dictionary counts as much in a long text as in a short one
 _SHARE = 32  # blocks of one text that may go into a dictionary, spread over all of it
 _LEVEL = 3
+_PAIRS = 4  # pairs of compressors kept
 
 
 @dataclass(frozen=True)
@@ -42,8 +43,18 @@ def _dictionary(blocks: list[bytes], size: int) -> bytes:
         return b"".join(blocks)[:size]
 
 
-@lru_cache(maxsize=4)
 def _compressors(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
+    """Made once per worker process for the last few pairs of dictionaries."""
+    tables = kept("compression_quality")
+    found = tables.get((good, bad))
+    if found is None:
+        if len(tables) >= _PAIRS:
+            tables.clear()
+        found = tables[good, bad] = _made(good, bad)
+    return found
+
+
+def _made(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
     out = []
     for data in (good, bad):
         dictionary = zstandard.ZstdCompressionDict(data)
