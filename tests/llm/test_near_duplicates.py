@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import tidemark.llm.near_duplicates as near_duplicates_module
 from tidemark.llm.components import components
 from tidemark.llm.near_duplicates import Sampler, Weigher, classes, common_shingles, deduplicate, near_duplicates
 from tidemark.llm.near_duplicates import _prefix_pairs, _sketcher, frequencies, tf_idf, weighted_jaccard
@@ -166,6 +167,22 @@ def test_pairs_in_large_bands(spark):
     assert {r.doc_id: r.class_id for r in found} == closure(ids, links)
 
 
+def test_few_links_cost_no_turns(spark, monkeypatch):
+    """A turn that links few of its pairs is the last, and nothing is missed for it."""
+    pick = random.Random(8)
+    word = lambda: f"w{pick.randrange(1 << 30)}"
+    template = [word() for _ in range(160)]
+    texts = [template + [word() for _ in range(40)] for _ in range(400)]
+    for i in range(0, 400, 4):
+        texts.append(texts[i][:182] + [word() for _ in range(18)])
+    docs = spark.createDataFrame([(i, " ".join(t), "", "", "") for i, t in enumerate(texts)], SCHEMA)
+    turns, pairs = [], near_duplicates_module._pairs
+    monkeypatch.setattr(near_duplicates_module, "_pairs", lambda members, turn, *more: turns.append(turn) or pairs(members, turn, *more))
+    found = near_duplicates(docs, common=2.0).collect()
+    assert {r.doc_id: r.class_id for r in found} == closure(range(500), [(4 * i, 400 + i) for i in range(100)])
+    assert turns == [0, 1]
+
+
 def test_prefix_join_grows_with_rows(spark):
     """Five times the rows of one template give five times the candidates, and no pair at the threshold is left out."""
     found = {}

@@ -1,3 +1,4 @@
+import os
 import zlib
 from hashlib import sha256
 
@@ -14,6 +15,8 @@ from tidemark.llm.byte_bpe import load_ranks
 from tidemark.llm.near_duplicates import Weigher, common_shingles, weighted_jaccard
 from tidemark.llm.queries import queries, table
 from tidemark.llm.shingles import words
+from tidemark.llm.tables import saved, temporary, without_rows
+from tidemark.storage import scratch_path
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -133,3 +136,49 @@ def test_stages_take_odd_rows(spark):
     assert corpus_pipeline.without_contamination(spark, docs, SF).count() == 5
     assert corpus_pipeline.without_near_duplicates(spark, docs, SF).count() == 4
     assert corpus_pipeline.tokens(spark, docs, SF).count() == 5
+
+
+def tables_left(spark, make):
+    """Names of the saved tables that `make` leaves behind."""
+    folder = os.path.dirname(scratch_path(spark, "none")).removeprefix("file:")
+    before = set(os.listdir(folder))
+    make()
+    return sorted({name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before})
+
+
+def test_only_what_the_result_reads_stays(spark, stages):
+    """Later stages need the disk: each one leaves the rows it returns, and little besides."""
+    left = [tables_left(spark, lambda i=i: corpus_pipeline.STAGES[i][1](spark, stages[i][0], SF)) for i in (1, 2, 3)]
+    assert left == [["boilerplate_places", "line_spread"], ["copies", "sketches"], ["contaminated", "places"]]
+
+
+@pytest.mark.parametrize("number", [2, 3])
+def test_texts_that_stay_are_not_shuffled(spark, stages, number):
+    """Of the returned rows only those that a bitmap can't tell from rows that go pass an exchange."""
+    before, after = stages[number]
+    plan = corpus_pipeline.STAGES[number][1](spark, before, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and plan.count("Exchange") <= plan.count("LeftAnti") * 2
+
+
+def test_temporary_tables(spark):
+    def failing():
+        with temporary() as for_now:
+            assert for_now(spark.range(5), "passing").count() == 5
+            saved(spark.range(3), "staying")
+            raise KeyError
+
+    def caught():
+        with pytest.raises(KeyError):
+            failing()
+
+    assert tables_left(spark, caught) == ["staying"]
+
+
+def test_without_rows(spark):
+    """Many rows, so that the bitmap lets others through; repeated and unknown numbers, and none at all."""
+    rows = spark.range(0, 30_000, 1, 3).selectExpr("id * 8589934592 AS row", "id")
+    gone = spark.range(0, 40_000, 2).selectExpr("id * 8589934592 AS row")
+    assert [r.id for r in without_rows(rows, gone.union(gone)).orderBy("id").collect()] == list(range(1, 30_000, 2))
+    assert without_rows(rows.union(rows), gone).count() == 30_000
+    assert without_rows(rows, gone.where("false")).count() == 30_000
+    assert without_rows(rows.where("false"), gone).count() == 0

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _LEAST_BITS, _MOST_BITS = 16, 26  # a bitmap has 2 ** 26 bits, 8 MB, at most
@@ -35,3 +38,15 @@ class Bitmap:
         words = np.zeros(1 << (bits - 6), np.int64)
         words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
         return Bitmap(bits, words.view(np.uint64))
+
+
+def filter_of(values: DataFrame) -> Callable[[str], Column]:
+    """A condition on a column of another table: false only for what the only column of `values` does not hold."""
+    bitmap = Bitmap.of(values.select(F.xxhash64(values.columns[0]).alias("hash")))
+
+    def test(hashes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in hashes:
+            yield pd.Series(bitmap.has(batch.to_numpy(np.int64).view(np.uint64)))
+
+    udf = F.pandas_udf(test, "boolean")
+    return lambda name: udf(F.xxhash64(name))

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import saved
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, saved: Callable[[DataFrame, str], DataFrame] = saved) -> DataFrame:
     """`node, label` for every node of `links(a, b)`; the label is the component's least node.
 
     Alternates two steps that keep the components: every node's larger neighbours move to its least
     neighbour, then its smaller ones do. The links end as stars around the least nodes, after a number
     of rounds that grows with the logarithm of the graph, also for long chains. A hub's links are never
-    gathered; its least neighbour is an aggregate.
+    gathered; its least neighbour is an aggregate. `saved` saves the links of each round, the last of which the result reads.
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     done = False

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shingles import WordHashes, shingles, words
-from tidemark.llm.tables import saved
+from tidemark.llm.tables import saved, temporary, without_rows
 
 _BITS = 24  # the bitmap has 2 ** 24 bits, 2 MB
 _WINDOWS = "item_id string, window string, n int, size int, hashes array<long>"
@@ -129,20 +129,51 @@ def contamination(docs: DataFrame, items: DataFrame, **options: int) -> DataFram
     occurring window). Rows are told apart even if ids repeat or are null. Null and empty texts have no
     words; items without words or id match nothing; either table may be empty.
     """
-    return _hits(docs, items, ["doc_id"], **options).select("doc.doc_id", "n_words", "n_hit", "item_ids")
+    found, windows, hits = _hits(docs, items, ["doc_id"], saved, **options)
+    named = hits.select("row", "window").distinct().join(windows.select("window", "item_id"), "window")
+    named = named.groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    return (
+        found.select("row", "doc.doc_id", "n_words")
+        .join(_covered(hits).drop("n_words"), "row", "left")
+        .join(named, "row", "left")
+        .select(
+            "doc_id",
+            "n_words",
+            F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+            F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        )
+    )
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, *, one_in: int = 20, **options: int) -> DataFrame:
     """The rows of `docs`, with all their columns, of which less than one word in `one_in` is hit."""
-    return _hits(docs, items, docs.columns, **options).where(~is_contaminated(one_in)).select("doc.*")
+    with temporary() as for_now:
+        found, _, hits = _hits(docs, items, docs.columns, for_now, **options)
+        contaminated = saved(_covered(hits).where(is_contaminated(one_in)).select("row"), "contaminated")
+    return without_rows(found, contaminated).select("doc.*")
 
 
-def _hits(docs: DataFrame, items: DataFrame, carried: list[str], *, window: int = 13, shingle: int = 3) -> DataFrame:
-    """`doc` (the columns carried along), `n_words`, `n_hit`, `item_ids`."""
+def _covered(hits: DataFrame) -> DataFrame:
+    """`row, n_hit, n_words` of documents with hits; `n_hit` counts the words that lie in any."""
+    runs = F.sort_array(F.collect_set(F.struct("start", "end")))
+    return hits.groupBy("row").agg(_union_length(runs).cast("long").alias("n_hit"), F.first("n_words").alias("n_words"))
+
+
+def _hits(
+    docs: DataFrame,
+    items: DataFrame,
+    carried: list[str],
+    saved_hits: Callable[[DataFrame, str], DataFrame],
+    *,
+    window: int = 13,
+    shingle: int = 3,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`row, doc` (the columns carried along), `n_words`; `window, item_id, …` of items; `row, start, end, window, n_words`
+    of their windows in documents. `saved_hits` saves the last two."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
     own = items.where(F.col("item_id").isNotNull())
     own = own.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    windows = saved(item_windows(own, window, shingle), "item_windows")
+    windows = saved_hits(item_windows(own, window, shingle), "item_windows")
     sizes = sorted(row["size"] for row in windows.select("size").distinct().collect())  # of 1 to `shingle`
 
     # The rarest shingle of each different window. One that no document has rules the window out.
@@ -155,7 +186,7 @@ def _hits(docs: DataFrame, items: DataFrame, carried: list[str], *, window: int
         F.min(F.struct(F.coalesce("corpus", F.lit(0)).alias("corpus"), "hash", "offset")).alias("rarest")
     )
     prefixes = prefixes.where("rarest.corpus > 0").select("window", "n", "rarest.hash", "rarest.offset")
-    prefixes = saved(prefixes, "prefixes")
+    prefixes = saved_hits(prefixes, "prefixes")
 
     finder = F.pandas_udf(_finder(_bitmap(prefixes), sizes, window), f"n_words long, places array<struct<{_PLACES}>>")
     found = docs.select(F.struct(*(F.col(f"`{name}`") for name in carried)).alias("doc"), finder(F.col("text").cast("string")).alias("found"))
@@ -166,23 +197,8 @@ def _hits(docs: DataFrame, items: DataFrame, carried: list[str], *, window: int
     inside = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
     same = F.array_join(F.slice("near", start - F.col("first") + 1, F.col("n")), " ") == F.col("window")
     hits = places.join(prefixes, "hash").where(F.when(inside, same))
-    hits = saved(hits.select("row", start.alias("start"), (start + F.col("n")).alias("end"), "window"), "hits")
-
-    runs = F.sort_array(F.collect_set(F.struct("start", "end")))
-    covered = hits.groupBy("row").agg(_union_length(runs).cast("long").alias("n_hit"))
-    named = hits.select("row", "window").distinct().join(windows.select("window", "item_id"), "window")
-    named = named.groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    return (
-        found.select("row", "doc", "n_words")
-        .join(covered, "row", "left")
-        .join(named, "row", "left")
-        .select(
-            "doc",
-            "n_words",
-            F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-            F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-        )
-    )
+    hits = hits.select("row", start.alias("start"), (start + F.col("n")).alias("end"), "window", "n_words")
+    return found.select("row", "doc", "n_words"), windows, saved_hits(hits, "hits")
 
 
 def is_contaminated(one_in: int = 20) -> Column:

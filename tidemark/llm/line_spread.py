@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import saved
+from tidemark.llm.tables import saved, temporary
 
 _LG_K = 12  # registers of a sketch, as a power of two: a relative error of 1.6 %
 _MARGIN = 0.1  # estimates this near the threshold, six times the error, are not relied on
@@ -88,16 +88,17 @@ def spread_lines(
     )
     long = (_has_words(F.col("line"), long_words) if long_sites is not None else F.lit(False)).alias("long")
     placed = placed.select("row", "id", "site", "place", _key(F.col("line"), min_words).alias("key"), long)
-    placed = saved(placed.where("key is not null"), "lines")
-    boilerplate = boilerplate_lines(placed.select("key", "site"), min_sites)
-    if long_sites is not None:
-        passages = placed.where("long")
-        spread = boilerplate_lines(passages.select("key", "site"), long_sites)
-        often = boilerplate_lines(passages.select("key", F.col("row").alias("site")), min_sites)
-        boilerplate = boilerplate.unionByName(spread).unionByName(often).distinct()
-    boilerplate = saved(boilerplate, "boilerplate")
-
-    hits = saved(placed.join(boilerplate, "key").select("key", "row", "id", "place"), "boilerplate_places")
+    with temporary() as for_now:
+        placed = for_now(placed.where("key is not null"), "lines")
+        boilerplate = boilerplate_lines(placed.select("key", "site"), min_sites)
+        if long_sites is not None:
+            passages = placed.where("long")
+            spread = boilerplate_lines(passages.select("key", "site"), long_sites)
+            often = boilerplate_lines(passages.select("key", F.col("row").alias("site")), min_sites)
+            boilerplate = boilerplate.unionByName(spread).unionByName(often).distinct()
+        boilerplate = for_now(boilerplate, "boilerplate")
+        hits = saved(placed.join(boilerplate, "key").select("key", "row", "id", "place"), "boilerplate_places")
+
     first = hits.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"))
     rest = hits.join(first, "key").where(F.struct("id", "place") != F.col("first"))
     removed = rest.groupBy("row").agg(F.collect_set("place").alias("removed"))

@@ -23,8 +23,8 @@ in a twentieth of 50,000 documents 0.6, at 0.8 with text of two documents 0.79);
 
 Equal texts are merged before any comparison. A band's documents are compared with three of them, not with
 each other: those that meet most others in all their bands, as the common original of a group of copies
-does. In bands of more than four, those outside the classes so found are compared with others, until that
-adds no link. What such bands still hold of different classes is then joined exactly: two texts that reach
+does. In bands of more than four, those outside the classes so found are compared with others, while that
+links enough of them. What such bands still hold of different classes is then joined exactly: two texts that reach
 the threshold share a shingle among the rarest of both, so all pairs that do are compared.
 """
 
@@ -39,10 +39,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bitmap import Bitmap
+from tidemark.llm.bitmap import Bitmap, filter_of
 from tidemark.llm.components import components
 from tidemark.llm.shingles import WordHashes, mixed, mixed_pairs, shingles, words
-from tidemark.llm.tables import saved
+from tidemark.llm.tables import saved, temporary, without_rows
 
 _BLOCK = 1 << 21  # shingles counted at a time when common ones are sought
 _LEAST_IDF = 0.99  # links at a weighted 0.8 all pairs that are at 0.802 unweighted, however common their text
@@ -54,7 +54,7 @@ _CENTRES = 3  # members of a band that all others are compared with in the first
 _CELL_BITS = 20  # document frequencies are counted in 2 ** 20 cells, twice
 _CHUNK = 1 << 13  # cells in one row
 _LEVELS = (2, 8, 64, 512, 4096)  # occurrences from which a shingle comes later in the order
-_BITS = 24  # the bitmap of documents to compare has 2 ** 24 bits, 2 MB
+_WORTH = 0.05  # links per pair compared below which another turn is not worth its pairs
 
 
 def _document_shingles(table: WordHashes, found: list[bytes], size: int) -> np.ndarray:
@@ -124,16 +124,17 @@ def frequencies(docs: DataFrame, size: int, share: float) -> tuple[tuple[np.ndar
             yield pd.DataFrame({"hash": at, "n": 0, "docs": 0, "cells": [_packed(parts[i]) for i in at]})
 
     total = docs.count()
-    reported = saved(docs.mapInPandas(report, "hash long, n long, docs long, cells binary"), "reported")
     cells = np.zeros(((2 << _CELL_BITS) // _CHUNK, _CHUNK), np.int64)
     added = F.pandas_udf(_added, "binary")("cells").alias("cells")
-    for row in reported.where("cells is not null").groupBy("hash").agg(added).collect():
-        cells[row["hash"]] = _unpacked(row["cells"])
+    with temporary() as for_now:
+        reported = for_now(docs.mapInPandas(report, "hash long, n long, docs long, cells binary"), "reported")
+        for row in reported.where("cells is not null").groupBy("hash").agg(added).collect():
+            cells[row["hash"]] = _unpacked(row["cells"])
+        # A block that is silent has less than share / 4; with that added, all that may reach the share stay.
+        # Each of them is in three quarters of the share of all documents, which bounds their number.
+        sums = reported.where("cells is null").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        may = sums.where(F.col("n") + share / 4 * (total - F.col("docs")) >= share * total).collect()
     every = Frequencies(total, cells.reshape(-1))
-    # A block that is silent has less than share / 4; with that added, all that may reach the share stay.
-    # Each of them is in three quarters of the share of all documents, which bounds their number.
-    sums = reported.where("cells is null").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    may = sums.where(F.col("n") + share / 4 * (total - F.col("docs")) >= share * total).collect()
     if all(row["docs"] == total for row in may):  # no block was silent on any: the sums are the counts
         return _idf([row for row in may if row["n"] >= share * total], total, share), every
     maybe = np.array(sorted(row["hash"] for row in may), np.int64)
@@ -343,6 +344,32 @@ def classes(
     one shingle. Null texts, and others without words, are never duplicates: each is a class with its own
     id. An empty table gives no rows.
     """
+    held, groups = _groups(docs, saved, text, doc_id, size, threshold, bands, rows, common)
+    found = held.select("doc", "row", "digest").join(groups, "digest", "left")
+    alone = F.col("digest").isNull()
+    return found.select(
+        "doc",
+        F.when(alone, F.col(f"doc.`{doc_id}`")).otherwise(F.col("kept.id")).alias("class_id"),
+        F.when(alone, F.lit(1).cast("long")).otherwise(F.col("size")).alias("class_size"),
+        (alone | (F.col("row") == F.col("kept.row"))).alias("kept"),
+    )
+
+
+def _groups(
+    docs: DataFrame,
+    saved_groups: Callable[[DataFrame, str], DataFrame],
+    text: str = "text",
+    doc_id: str = "doc_id",
+    size: int = 5,
+    threshold: float = 0.8,
+    bands: int = 18,
+    rows: int = 2,
+    common: float = 0.1,
+) -> tuple[DataFrame, DataFrame]:
+    """`doc, digest, row` of every row, and per digest `kept` (the row that stays of its class) and `size`.
+
+    `saved_groups` saves what the second reads.
+    """
     texts = docs.select(F.col(text).cast("string").alias("text"))
     frequent, every = frequencies(texts, size, common)
     sketch = _sketcher(size, every, bands, rows)(F.col(text).cast("string"))
@@ -353,65 +380,70 @@ def classes(
     own = F.struct(F.col(f"doc.`{doc_id}`").isNull().alias("none"), F.col(f"doc.`{doc_id}`").alias("id"), "row")
     nodes = held.where("digest is not null").groupBy("digest")
     nodes = nodes.agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.min("row").alias("node"))
-    nodes = saved(nodes, "texts")
+    nodes = saved_groups(nodes, "texts")
+    texts = held.select(F.col("row").alias("node"), F.col(f"doc.`{text}`").cast("string").alias("text"))
+    with temporary() as for_now:
+        labels = saved_groups(_labels(nodes, texts, for_now, size, frequent, threshold), "classes")
+
+    named = nodes.select("digest", "node", "first", "n").join(labels, "node", "left")
+    named = named.withColumn("label", F.coalesce("label", "node"))
+    whole = named.groupBy("label").agg(F.min("first").alias("kept"), F.sum("n").alias("size"))
+    return held, named.select("digest", "label").join(whole, "label").select("digest", "kept", "size")
+
 
+def _labels(
+    nodes: DataFrame, texts: DataFrame, for_now: Callable[[DataFrame, str], DataFrame], size: int, common, threshold: float
+) -> DataFrame:
+    """`node, label` of all of `nodes(node, bands)` that are linked; `texts(node, text)` may hold more."""
     keys = nodes.select("node", F.explode("bands").alias("band"))
     buckets = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = saved(keys.join(buckets, "band"), "members")
+    members = for_now(keys.join(buckets, "band"), "members")
     # How many others a node meets in all its bands: most where a group of copies has its common original.
     met = members.groupBy("node").agg(F.sum("n").alias("met"))
-    members = saved(members.join(met, "node"), "ranked_members")
+    members = for_now(members.join(met, "node"), "ranked_members")
     large = members.where(F.col("n") > _CENTRES + 1)  # in smaller bands, the first turn compares all with all
-    node_texts = held.select(F.col("row").alias("node"), F.col(f"doc.`{text}`").cast("string").alias("text"))
-    # A bitmap of fixed size drops most texts before the shuffle, the join the few that it lets through.
-    may = _in_bitmap(_bitmap(met))
-    node_texts = node_texts.where(may("node")).join(met.select("node").hint("merge"), "node", "left_semi")
-    node_texts = saved(node_texts, "member_texts")
-
-    left, right = (
-        node_texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")) for name in "ab"
-    )
+    # A bitmap drops most texts before the shuffle, the join the few that it lets through.
+    texts = texts.where(filter_of(met.select("node"))("node")).join(met.select("node").hint("merge"), "node", "left_semi")
+    texts = for_now(texts, "member_texts")
+
+    def scores(pairs: DataFrame) -> DataFrame:
+        """Only texts that a bitmap of the pairs lets through are shuffled."""
+        pairs = for_now(pairs, "pairs")
+        with_texts = pairs
+        for name in "ab":
+            needed = texts.where(filter_of(pairs.select(name))("node"))
+            with_texts = with_texts.join(needed.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")), name)
+        score = _similarity(size, common)("text_a", "text_b")
+        return for_now(with_texts.select("a", "b", score.alias("score")), "scored")
+
     labels = tried = None
     turn = 0
     while True:
-        pairs = _pairs(members, turn, _CENTRES) if labels is None else _pairs(large, turn, 1, labels, tried)
-        score = _similarity(size, frequent)("text_a", "text_b")
-        scored = saved(pairs.join(left, "a").join(right, "b").select("a", "b", score.alias("score")), "scored")
+        scored = scores(_pairs(members, turn, _CENTRES) if labels is None else _pairs(large, turn, 1, labels, tried))
         near = scored.where(F.col("score") >= threshold).select("a", "b")
+        tried = scored.select("a", "b") if tried is None else tried.unionByName(scored.select("a", "b"))
+        linked = near.count()
         if labels is not None:
-            if near.isEmpty():
+            if not linked:
                 break
             # The stars of the classes so far stand for the links before.
             near = near.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = saved(components(near), "labels")
-        tried = scored.select("a", "b") if tried is None else tried.unionByName(scored.select("a", "b"))
+        labels = for_now(components(near, for_now), "labels")
+        # Few links would cost a turn each, more turns the more documents there are; they are left to the prefixes.
+        if turn and linked < _WORTH * scored.count():
+            break
         turn += 1
 
     # Turns can miss a pair: all that large bands still hold apart is joined by prefixes, which cannot.
     apart = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed_bands = apart.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    apart = saved(apart.join(mixed_bands, "band").select("node", "label").distinct(), "apart")
+    apart = for_now(apart.join(mixed_bands, "band").select("node", "label").distinct(), "apart")
     if not apart.isEmpty():
-        pairs = _prefix_pairs(apart.join(node_texts, "node"), size, frequent, threshold).join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "prefix_pairs")
-        score = _similarity(size, frequent)("text_a", "text_b")
-        scored = saved(pairs.join(left, "a").join(right, "b").select("a", "b", score.alias("score")), "scored")
-        near = scored.where(F.col("score") >= threshold).select("a", "b")
+        pairs = _prefix_pairs(apart.join(texts, "node"), size, common, threshold, for_now).join(tried, ["a", "b"], "left_anti")
+        near = scores(pairs).where(F.col("score") >= threshold).select("a", "b")
         near = near.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = saved(components(near), "labels")
-
-    named = nodes.select("digest", "node", "first", "n").join(labels, "node", "left")
-    named = named.withColumn("label", F.coalesce("label", "node"))
-    whole = named.groupBy("label").agg(F.min("first").alias("kept"), F.sum("n").alias("size"))
-    named = named.select("digest", "label").join(whole, "label").select("digest", "kept", "size")
-    found = held.select("doc", "row", "digest").join(named, "digest", "left")
-    alone = F.col("digest").isNull()
-    return found.select(
-        "doc",
-        F.when(alone, F.col(f"doc.`{doc_id}`")).otherwise(F.col("kept.id")).alias("class_id"),
-        F.when(alone, F.lit(1).cast("long")).otherwise(F.col("size")).alias("class_size"),
-        (alone | (F.col("row") == F.col("kept.row"))).alias("kept"),
-    )
+        labels = components(near, for_now)
+    return labels
 
 
 def _pairs(
@@ -437,7 +469,9 @@ def _pairs(
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def _prefix_pairs(texts: DataFrame, size: int, common, threshold: float) -> DataFrame:
+def _prefix_pairs(
+    texts: DataFrame, size: int, common, threshold: float, saved: Callable[[DataFrame, str], DataFrame] = saved
+) -> DataFrame:
     """`a, b`: all pairs of `texts(node, label, text)` of different labels that can reach the threshold.
 
     Shingles have one order: those of one text first, then by how often they occur, in steps, then by hash.
@@ -505,29 +539,6 @@ def _prefix_pairs(texts: DataFrame, size: int, common, threshold: float) -> Data
     return pairs.select(F.least("one_node", "node").alias("a"), F.greatest("one_node", "node").alias("b")).distinct()
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """Hashes of the nodes as a bitmap: at most 2 ** 18 rows of 64 bits reach the driver."""
-    at = F.shiftrightunsigned(F.xxhash64("node"), 64 - _BITS)
-    rows = nodes.select(at.alias("at")).selectExpr("shiftright(at, 6) word", "shiftleft(1L, cast(at & 63 as int)) bit")
-    out = np.zeros(1 << (_BITS - 6), np.int64)
-    for word, bits in rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
-        out[word] = bits
-    return out
-
-
-def _in_bitmap(bitmap: np.ndarray) -> Callable:
-    """A filter on node ids: false only for nodes that are not in the bitmap."""
-
-    def test(hashes: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words_of = bitmap.view(np.uint64)
-        for batch in hashes:
-            at = batch.to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - _BITS)
-            yield pd.Series((words_of[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
-
-    udf = F.pandas_udf(test, "boolean")
-    return lambda node: udf(F.xxhash64(node))
-
-
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """`doc_id, class_id, class_size, kept` per row; see `classes` for options and odd rows."""
     found = classes(docs, doc_id=doc_id, **options)
@@ -536,4 +547,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> Da
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stay, one per class, with all their columns."""
-    return classes(docs, **options).where("kept").select("doc.*")
+    with temporary() as for_now:
+        held, groups = _groups(docs, for_now, **options)
+        copies = held.select("row", "digest").join(groups, "digest").where("row <> kept.row").select("row")
+        copies = saved(copies, "copies")
+    return without_rows(held, copies).select("doc.*")
