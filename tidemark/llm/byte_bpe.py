@@ -31,7 +31,7 @@ ENCODED = "n_tokens long, ids binary, decoded_sha256 string"
 _WINDOW = 1 << 20  # characters split into matches at a time
 _STATES = 400_000  # determinised states kept; beyond, the table is begun anew
 _MATCHES = 400_000  # matches whose output is remembered; beyond, begun anew
-_PAIRS = 400_000  # verdicts on neighbouring tokens kept; beyond, begun anew
+_PAIRS = 100_000  # verdicts on neighbouring tokens kept; beyond, begun anew (one takes less time than a state)
 _SMALL = 4  # tokens below a trie node up to which dead readings are sought
 _BREAK = regex.compile(r"(?<=\S)\s")
 
@@ -51,15 +51,18 @@ class Transducer:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self._parts: dict[bytes, tuple[bytes, bytes]] = {}
-        self._edges: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._live: dict[tuple[int, int], bool] = {}
+        # Two numbers that make a key are one integer: half the memory of a pair of them, or of a dictionary each.
+        self._edges: dict[int, list[tuple[bytes, int, int]]] = {}
+        self._pairs: dict[int, bool] = {}
+        self._live: dict[int, bool] = {}
         self._trie()
         self._reset()
 
     def _trie(self) -> None:
-        """Node 0 is the root. Tokens that merging cannot reach are left out; see `encode`."""
-        self.child: list[dict[int, int]] = [{}]
+        """Node 0 is the root; `child` has the node below node << 8 | byte, `inner` whether there are any.
+        Tokens that merging cannot reach are left out; see `encode`."""
+        self.child: dict[int, int] = {}
+        self.inner = bytearray(1)
         self.ends: list[int] = [-1]
         below: list[list[int]] = [[]]
         for token, rank in self.ranks.items():
@@ -70,10 +73,11 @@ class Transducer:
                 self._parts[token] = halves
             node = 0
             for byte in token:
-                found = self.child[node].get(byte)
+                found = self.child.get(node << 8 | byte)
                 if found is None:
-                    found = self.child[node][byte] = len(self.child)
-                    self.child.append({})
+                    found = self.child[node << 8 | byte] = len(self.ends)
+                    self.inner[node] = 1
+                    self.inner.append(0)
                     self.ends.append(-1)
                     below.append([])
                 node = found
@@ -83,11 +87,11 @@ class Transducer:
         self.below = below
 
     def _reset(self) -> None:
-        # A state's readings: (delayed output, last token, trie node). Its moves: byte -> (output, state).
+        # A state's readings: (delayed output, last token, trie node). Moves: number << 8 | byte -> (output, number << 8).
         start = (((), -1, 0),)
         self._numbers = {start: 0}
         self._readings = [start]
-        self.moves: list[dict[int, tuple[tuple[int, ...], int]]] = [{}]
+        self.moves: dict[int, tuple[tuple[int, ...], int]] = {}
         self.finals: list[tuple[int, ...]] = [()]
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
@@ -104,7 +108,7 @@ class Transducer:
     def _edge(self, token: int, side: int) -> list[tuple[bytes, int, int]]:
         """The tokens that stand at one edge of `token` while it is merged, the last one first: bytes, and
         the ranks of the merges that make it and that end it."""
-        key = (token, side)
+        key = token << 1 | side
         found = self._edges.get(key)
         if found is None:
             piece, until, found = self.tokens[token], 1 << 60, []
@@ -123,7 +127,7 @@ class Transducer:
         """
         if left < 0:
             return True
-        key = (left, right)
+        key = left << 32 | right
         known = self._pairs.get(key)
         if known is not None:
             return known
@@ -151,7 +155,7 @@ class Transducer:
         below = self.below[node]
         if left < 0 or node == 0 or len(below) > _SMALL:
             return True
-        key = (left, node)
+        key = left << 32 | node
         known = self._live.get(key)
         if known is None:
             if len(self._live) > _PAIRS:
@@ -162,14 +166,14 @@ class Transducer:
     def _step(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
         readings = []
         closed = None
-        for output, last, node in self._readings[state]:
-            node = self.child[node].get(byte)
+        for output, last, node in self._readings[state >> 8]:
+            node = self.child.get(node << 8 | byte)
             if node is None:
                 continue
             token = self.ends[node]
             if token >= 0 and self._follows(last, token):
                 closed = ((*output, token), token, 0)
-            if self.child[node] and self._open(last, node):
+            if self.inner[node] and self._open(last, node):
                 readings.append((output, last, node))
         readings.append(closed)  # the encoding of all bytes so far: there is exactly one
         agreed, first = 0, closed[0]
@@ -184,11 +188,10 @@ class Transducer:
         key = tuple([(output[agreed:], last, node) for output, last, node in readings]) if agreed else tuple(readings)
         number = self._numbers.get(key)
         if number is None:
-            number = self._numbers[key] = len(self._readings)
+            number = self._numbers[key] = len(self._readings) << 8
             self._readings.append(key)
-            self.moves.append({})
             self.finals.append(key[-1][0])
-        move = self.moves[state][byte] = (first[:agreed], number)
+        move = self.moves[state | byte] = (first[:agreed], number)
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -196,16 +199,16 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.moves) > _STATES:
+        if len(self._readings) > _STATES:
             self._reset()
         ids: list[int] = []
         state, moves = 0, self.moves
         for byte in piece:
-            move = moves[state].get(byte)
+            move = moves.get(state | byte)
             output, state = move if move is not None else self._step(state, byte)
             if output:
                 ids.extend(output)
-        ids.extend(self.finals[state])
+        ids.extend(self.finals[state >> 8])
         return ids
 
 
