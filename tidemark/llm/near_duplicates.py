@@ -407,12 +407,14 @@ def _labels(
     texts = for_now(texts, "member_texts")
 
     def scores(pairs: DataFrame) -> DataFrame:
-        """Only texts that a bitmap of the pairs lets through are shuffled."""
+        """Only texts that a bitmap of the pairs lets through are shuffled. They are, even if a broadcast would do: a
+        task that filtered and compared would run two Python workers, and an executor keep twice as many."""
         pairs = for_now(pairs, "pairs")
         with_texts = pairs
         for name in "ab":
             needed = texts.where(filter_of(pairs.select(name))("node"))
-            with_texts = with_texts.join(needed.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")), name)
+            needed = needed.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+            with_texts = with_texts.join(needed.hint("merge"), name)
         score = _similarity(size, common)("text_a", "text_b")
         return for_now(with_texts.select("a", "b", score.alias("score")), "scored")
 
